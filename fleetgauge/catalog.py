@@ -110,8 +110,9 @@ def compact_path(
         session = spark.newSession()
         session.conf.set("spark.sql.adaptive.enabled", "true")
         session.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(file_bytes))
-        # The rebalance splits a hot partition only when the shuffle has
-        # more reducers than the wanted number of files.
+        # A hot partition is split between the tasks that read it, so none
+        # of them may read more than one file's worth.
+        session.conf.set("spark.sql.files.maxPartitionBytes", str(file_bytes))
         wanted = math.ceil(storage.total_bytes(spark, source) / file_bytes)
         current = int(spark.conf.get("spark.sql.shuffle.partitions"))
         session.conf.set("spark.sql.shuffle.partitions", str(max(wanted, current)))
@@ -144,7 +145,3 @@ def compact_table(
     compact_path(spark, source, target, file_bytes, partition_by)
     return external_table(spark, table, target)
 
-
-def set_shuffle_partitions(spark: SparkSession, partitions: int) -> int:
-    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))

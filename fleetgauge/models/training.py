@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 from fleetgauge.schemas import SENSORS
 
 PREDICTION = "sensor5Prediction"
+FAMILIES = ("linear", "forest", "boosted")
 
 
 @dataclass(frozen=True)
@@ -29,12 +29,12 @@ class Search:
     scores: dict[str, float] = field(default_factory=dict)
 
 
-def candidates(target: str, families: tuple[str, ...]) -> dict[str, tuple]:
+def candidates(target: str, families: tuple[str, ...]) -> dict[str, tuple[Estimator, list[dict]]]:
     """Estimators with their parameter grids, by family name."""
     columns = {"featuresCol": "features", "labelCol": target, "predictionCol": PREDICTION}
     linear = LinearRegression(**columns)
     forest = RandomForestRegressor(seed=1, **columns)
-    boosted = GBTRegressor(seed=1, maxIter=20, **columns)
+    boosted = GBTRegressor(seed=1, maxIter=10, **columns)
     known = {
         "linear": (linear, ParamGridBuilder().addGrid(linear.regParam, [0.0, 0.1]).build()),
         "forest": (forest, ParamGridBuilder().addGrid(forest.maxDepth, [5, 8]).build()),
@@ -64,15 +64,16 @@ def train_sensor_model(
     features: tuple[str, ...] | None = None,
     exclude: tuple[str, ...] = ("datetime", "device"),
     metric: str = "r2",
-    families: tuple[str, ...] = ("linear", "forest", "boosted"),
+    families: tuple[str, ...] = FAMILIES,
     train_ratio: float = 0.8,
     seed: int = 1,
-    parallelism: int = 2,
+    parallelism: int = 4,
 ) -> Search:
     """Fit each family over its grid and keep the best on held-out rows.
 
     Features are the given ones, or every column but the target and
-    ``exclude``. The winner is fitted again on all rows.
+    ``exclude``. All families share one split, which is cached once while
+    they are fitted; only the winner is fitted again, on all rows.
     """
     if features is None:
         features = tuple(c for c in df.columns if c != target and c not in exclude)
@@ -80,22 +81,23 @@ def train_sensor_model(
     evaluator = RegressionEvaluator(labelCol=target, predictionCol=PREDICTION, metricName=metric)
     better = max if evaluator.isLargerBetter() else min
 
-    assembled = assembler(features).transform(rows).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fitted, scores = {}, {}
-        for family, (estimator, grid) in candidates(target, families).items():
-            search = TrainValidationSplit(
-                estimator=estimator,
-                estimatorParamMaps=grid,
-                evaluator=evaluator,
-                trainRatio=train_ratio,
-                seed=seed,
-                parallelism=parallelism,
-            ).fit(assembled)
-            fitted[family] = search.bestModel
-            scores[family] = better(search.validationMetrics)
-        family = better(scores, key=scores.get)
-    finally:
-        assembled.unpersist()
-    model = PipelineModel(stages=[assembler(features), fitted[family]])
-    return Search(model, family, metric, scores[family], scores)
+    chain = Pipeline(stages=[])
+    trials = [
+        (family, {chain.stages: [assembler(features), estimator], **params})
+        for family, (estimator, grid) in candidates(target, families).items()
+        for params in grid
+    ]
+    search = TrainValidationSplit(
+        estimator=chain,
+        estimatorParamMaps=[trial for _, trial in trials],
+        evaluator=evaluator,
+        trainRatio=train_ratio,
+        seed=seed,
+        parallelism=parallelism,
+    ).fit(rows)
+
+    scores: dict[str, float] = {}
+    for (family, _), value in zip(trials, search.validationMetrics):
+        scores[family] = better(scores.get(family, value), value)
+    family = better(scores, key=scores.get)
+    return Search(search.bestModel, family, metric, scores[family], scores)

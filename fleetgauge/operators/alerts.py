@@ -15,9 +15,8 @@ def alerts(
     """Rows of ``gold`` whose measure is strictly above the threshold.
 
     A device without threshold, or a null on either side, gives no alert.
-    Wrap ``thresholds`` in ``bounded_broadcast`` when it is a stored table;
-    one derived from ``gold`` in the same plan is left to adaptive execution,
-    which reuses the exchange below both branches.
+    Wrap stored ``thresholds`` in ``bounded_broadcast``, so that gold is not
+    shuffled for them while they are small.
     """
     found = (
         gold.join(thresholds.select("deviceName", "Threshold"), "deviceName")

@@ -14,7 +14,7 @@ def date_dimension(spark: SparkSession, start: dt.date, end: dt.date) -> DataFra
     """One row per day from ``start`` to ``end``, both included."""
     if end < start:
         raise ValueError(f"empty range {start} .. {end}")
-    days = spark.range(1).select(
+    days = spark.range(0, 1, 1, 1).select(
         F.explode(
             F.sequence(F.lit(start), F.lit(end), F.expr("INTERVAL 1 DAY"))
         ).alias("day")

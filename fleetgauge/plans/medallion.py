@@ -8,19 +8,19 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from fleetgauge import storage
 from fleetgauge.operators.alerts import alerts
 from fleetgauge.operators.lookups import bounded_broadcast
 from fleetgauge.operators.silver import Scorer, enrich
 from fleetgauge.operators.thresholds import derive_thresholds
 from fleetgauge.operators.windows import window_averages
 from fleetgauge.schemas import SENSORS
-from fleetgauge.session import stateful_session
+from fleetgauge.session import stateful_session, stored
 from fleetgauge.settings import Settings
 from fleetgauge.sinks.tables import stream_to_path
 from fleetgauge.sources.files import stream_files
 from fleetgauge.streaming.layers import start_alerts_log, start_gold
 from fleetgauge.streaming.runner import drain, start_in_pool
-from fleetgauge import storage
 
 LAYERS = ("bronze", "silver", "gold", "alerts")
 
@@ -43,13 +43,19 @@ def batch_layers(
     measure: str = "sensor5_avg",
     window: str = "30 seconds",
 ) -> BatchLayers:
-    """All layers as lazy frames; thresholds default to those of the data itself."""
+    """All layers as frames.
+
+    With given thresholds nothing runs yet. Otherwise they are derived from
+    gold, which two branches then read: gold and the thresholds are written
+    to the shared folder first, so that the readings are scanned and shuffled
+    once and gold, with the thresholds broadcast, not again.
+    """
     silver = enrich(readings, devices, dates, scorer, sensors)
     gold = window_averages(silver, sensors, window)
     if thresholds is None:
-        thresholds = derive_thresholds(gold, measure=measure)
-    else:
-        thresholds = bounded_broadcast(thresholds)
+        gold = stored(gold, "gold")
+        thresholds = stored(derive_thresholds(gold, measure=measure), "thresholds")
+    thresholds = bounded_broadcast(thresholds)
     return BatchLayers(silver, gold, thresholds, alerts(gold, thresholds, measure))
 
 

@@ -32,9 +32,9 @@ from fleetgauge.operators.windows import flatten_window, window_averages
 from fleetgauge.plans import bindings as b
 from fleetgauge.plans.bi import SavedQueries
 from fleetgauge.plans.flow import Flow
-from fleetgauge.plans.medallion import batch_layers, stream_layers
+from fleetgauge.plans.medallion import BatchLayers, batch_layers, stream_layers
 from fleetgauge.schemas import SENSORS
-from fleetgauge.session import fresh_path, stateful_session
+from fleetgauge.session import fresh_path, stateful_session, stored
 from fleetgauge.settings import Settings
 from fleetgauge.sinks.broker import stream_to_envelope_files
 from fleetgauge.sinks.snapshots import read_all, read_latest
@@ -79,7 +79,8 @@ def _settings(spark: SparkSession, name: str, **changes) -> Settings:
     )
 
 
-def _event_layers(spark: SparkSession, sf_dir: str):
+def _event_layers(spark: SparkSession, sf_dir: str) -> BatchLayers:
+    """Layers that store gold once, since thresholds and alerts both need it."""
     return batch_layers(
         b.event_readings(spark, sf_dir),
         b.event_devices(spark, sf_dir),
@@ -98,6 +99,10 @@ def _event_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _event_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_averages(_event_silver(spark, sf_dir), b.EVENT_SENSORS)
+
+
 def _present(df: DataFrame) -> DataFrame:
     return b.rounded(b.wall_clock(df))
 
@@ -183,7 +188,7 @@ def table_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts the catalog holds after analyzing the reference tables."""
     settings = _settings(spark, "statistics")
     catalog.init_catalog(spark, settings.database, settings.base_path)
-    gold = _event_layers(spark, sf_dir).gold
+    gold = _event_gold(spark, sf_dir)
     roles = {
         "device_info": b.event_devices(spark, sf_dir),
         "thresholds": derive_thresholds(gold, measure=MEASURE),
@@ -277,7 +282,7 @@ def expectation_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_window_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _present(flatten_window(_event_layers(spark, sf_dir).gold))
+    return _present(flatten_window(_event_gold(spark, sf_dir)))
 
 
 def sensor_wide_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -327,11 +332,11 @@ def gold_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def threshold_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return b.rounded(device_statistics(_event_layers(spark, sf_dir).gold, MEASURE))
+    return b.rounded(device_statistics(_event_gold(spark, sf_dir), MEASURE))
 
 
 def thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return b.rounded(_event_layers(spark, sf_dir).thresholds)
+    return b.rounded(derive_thresholds(_event_gold(spark, sf_dir), measure=MEASURE))
 
 
 def alerts_current(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -355,9 +360,7 @@ def alerts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All four layers as streams; one alert row per closed window."""
     source = b.replayed(b.event_readings(spark, sf_dir), sf_dir, "events", "json")
     settings = _settings(spark, "layers")
-    limits = overwrite_path(
-        _event_layers(spark, sf_dir).thresholds, settings.data_path("thresholds")
-    )
+    limits = stored(derive_thresholds(_event_gold(spark, sf_dir), measure=MEASURE), "thresholds")
     stream_layers(
         spark,
         settings,
@@ -562,14 +565,12 @@ def _saved(spark: SparkSession, sf_dir: str, *roles: str) -> SavedQueries:
     """Store the tables that a saved query needs."""
     settings = _settings(spark, "bi")
     catalog.init_catalog(spark, settings.database, settings.base_path)
-    silver = _event_silver(spark, sf_dir)
-    gold = window_averages(silver, b.EVENT_SENSORS)
     builders = {
         "device_info": lambda: require_unique(b.event_devices(spark, sf_dir), "device"),
         "dim_date": lambda: b.event_dates(spark),
         "bronze": lambda: b.event_readings(spark, sf_dir),
-        "silver": lambda: silver,
-        "gold": lambda: gold,
+        "silver": lambda: _event_silver(spark, sf_dir),
+        "gold": lambda: _event_gold(spark, sf_dir),
         "thresholds": lambda: derive_thresholds(
             spark.table(settings.table("gold")), measure=MEASURE
         ),

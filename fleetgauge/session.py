@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+_local_folders: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, named by ``spark.checkpoint.dir``.
@@ -20,9 +23,10 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="fleetgauge-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="fleetgauge-")
+    return _local_folders[application]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -30,6 +34,28 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/fleetgauge/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the shared folder once and read it from there.
+
+    For a result that several branches of a plan need: the table outlives
+    lost executors, and each branch reads only its columns.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def size_shuffles(spark: SparkSession, shuffled_bytes: int, target: int = 128 * 2**20) -> int:
+    """Set the shuffle width for the volume at hand.
+
+    Adaptive execution merges partitions that turn out small, but it cannot
+    make more of them, so the number has to suit the largest shuffle.
+    """
+    wanted = max(spark.sparkContext.defaultParallelism, math.ceil(shuffled_bytes / target))
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
+
+
 def stateful_session(
     spark: SparkSession, partitions: int | None = None, rocksdb: bool = True
 ) -> SparkSession:

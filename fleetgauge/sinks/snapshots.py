@@ -42,6 +42,10 @@ def read_all(spark: SparkSession, path: str) -> DataFrame:
     batches = finished_batches(spark, path)
     if not batches:
         raise FileNotFoundError(f"no finished batch in {path}")
+    return read_batches(spark, path, batches)
+
+
+def read_batches(spark: SparkSession, path: str, batches: list[int]) -> DataFrame:
     folders = [_folder(path, b) for b in batches]
     return spark.read.option("basePath", path).parquet(*folders)
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetgauge.operators.alerts import alerts
@@ -19,7 +21,8 @@ from fleetgauge.operators.windows import (
 )
 from fleetgauge.schemas import SENSORS
 from fleetgauge.sinks.snapshots import (
-    read_all,
+    finished_batches,
+    read_batches,
     stream_batches,
     stream_changes,
     stream_complete,
@@ -90,8 +93,45 @@ def start_gold(
     return stream_to_path(averages, path, checkpoint, query_name, trigger)
 
 
-def read_additive_gold(spark, path: str, sensors: tuple[str, ...] = SENSORS) -> DataFrame:
-    return merge_partials(read_all(spark, path), sensors)
+def _partials(
+    spark: SparkSession, path: str, sensors: tuple[str, ...]
+) -> tuple[DataFrame, int | None]:
+    """Every partial row once, and the last batch among them that is not folded."""
+    folds = finished_batches(spark, f"{path}/folded")
+    upto = folds[-1] if folds else -1
+    later = [n for n in finished_batches(spark, path) if n > upto]
+    columns = ["window", "deviceName", *[f"{s}_{k}" for k in ("sum", "n") for s in sensors]]
+    parts = []
+    if folds:
+        parts.append(read_batches(spark, f"{path}/folded", folds[-1:]).select(columns))
+    if later:
+        parts.append(read_batches(spark, path, later).select(columns))
+    if not parts:
+        raise FileNotFoundError(f"no finished batch in {path}")
+    return reduce(DataFrame.unionByName, parts), (later[-1] if later else None)
+
+
+def read_additive_gold(
+    spark: SparkSession, path: str, sensors: tuple[str, ...] = SENSORS
+) -> DataFrame:
+    return merge_partials(_partials(spark, path, sensors)[0], sensors)
+
+
+def fold_additive_gold(
+    spark: SparkSession, path: str, sensors: tuple[str, ...] = SENSORS
+) -> None:
+    """Add up the partial rows of all finished batches, to keep reads short.
+
+    The sums go to ``folded/batch_id=<last batch>``, and only batches after
+    that one are read beside it. It may run while the stream runs; an
+    unfinished fold is ignored.
+    """
+    partials, last = _partials(spark, path, sensors)
+    if last is None:
+        return
+    sums = [f"{s}_{k}" for k in ("sum", "n") for s in sensors]
+    folded = partials.groupBy("window", "deviceName").agg(*[F.sum(c).alias(c) for c in sums])
+    folded.write.mode("overwrite").parquet(f"{path}/folded/batch_id={last}")
 
 
 def start_alerts_log(
