@@ -24,8 +24,8 @@ def date_dimension(spark: SparkSession, start: dt.date, end: dt.date) -> DataFra
 
 def date_bounds(df: DataFrame, time_col: str = "datetime") -> tuple[dt.date, dt.date]:
     """First and last day of a column; reads that column only."""
-    day = F.to_date(time_col)
-    low, high = df.agg(F.min(day), F.max(day)).first()
+    ends = df.agg(F.min(time_col).alias("low"), F.max(time_col).alias("high"))
+    low, high = ends.select(F.to_date("low"), F.to_date("high")).first()
     if low is None:
         raise ValueError(f"{time_col} has no values")
     return low, high

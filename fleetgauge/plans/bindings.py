@@ -83,16 +83,13 @@ def wall_clock(df: DataFrame) -> DataFrame:
     )
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles rounded: their last bits depend on the order of addition."""
-    return df.select(
-        [
-            F.round(f.name, digits).alias(f.name)
-            if f.dataType.typeName() == "double"
-            else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
+def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
+    """Aggregates and predictions rounded.
+
+    The last bits of a sum depend on the order of addition, which no engine
+    fixes.
+    """
+    return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
 @dataclass(frozen=True)

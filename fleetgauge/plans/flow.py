@@ -39,6 +39,7 @@ class Node:
     stored: bool = True
     comment: str | None = None
     expectations: tuple[Expectation, ...] = ()
+    partition_by: tuple[str, ...] = ()
 
     @property
     def parents(self) -> tuple[str, ...]:
@@ -70,9 +71,12 @@ class Flow:
         streams: tuple[str, ...] = (),
         comment: str | None = None,
         expectations: tuple[Expectation, ...] = (),
+        partition_by: tuple[str, ...] = (),
     ) -> None:
         """A stored table; its rules count all rows and drop as they say."""
-        self._add(Node(name, builder, reads, streams, True, comment, expectations))
+        self._add(
+            Node(name, builder, reads, streams, True, comment, expectations, partition_by)
+        )
 
     def sql_table(
         self,
@@ -82,6 +86,7 @@ class Flow:
         streams: tuple[str, ...] = (),
         comment: str | None = None,
         expectations: tuple[Expectation, ...] = (),
+        partition_by: tuple[str, ...] = (),
     ) -> None:
         """A table given by a SELECT over its inputs' names."""
 
@@ -90,7 +95,7 @@ class Flow:
                 df.createOrReplaceTempView(view)
             return spark.sql(text)
 
-        self.table(name, build, reads, streams, comment, expectations)
+        self.table(name, build, reads, streams, comment, expectations, partition_by)
 
     def order(self) -> list[str]:
         """Definition names, every one after those it reads."""
@@ -139,7 +144,9 @@ class Flow:
                 seen = self._observations[node.name] = Observation(node.name)
                 df = df.observe(seen, *metric_columns(node.expectations))
             df = apply_expectations(df, node.expectations)
-            stored = overwrite_table(df, table, path, self.settings.table_format)
+            stored = overwrite_table(
+                df, table, path, self.settings.table_format, node.partition_by
+            )
         else:
             if node.expectations:
                 df = observe(df, node.expectations)
@@ -156,6 +163,7 @@ class Flow:
                     self.settings.checkpoint_path(node.name),
                     query_name=node.name,
                     trigger="availableNow" if wait else self.settings.trigger,
+                    partition_by=node.partition_by,
                     fmt=self.settings.table_format,
                 ),
             )

@@ -185,9 +185,9 @@ FROM silver GROUP BY ALL""",
     "gold_window_stream": _GOLD,
     "json_batch_scan": _READINGS,
     "landing_partitioned": """
-SELECT CAST(ts AS DATE) AS stream_date, event_type, count(*) AS messages,
-       CAST(sum(event_id) AS BIGINT) AS sequence_sum, round(sum(value), 4) AS value_sum
-FROM events GROUP BY ALL""",
+SELECT event_id AS "sequenceNumber", CAST(user_id AS VARCHAR) AS user_id, event_type,
+       CAST(value AS VARCHAR) AS value, props, CAST(ts AS DATE) AS stream_date
+FROM events""",
     "model_fit_linear": _least_squares(),
     "model_registered_function": _least_squares(),
     "model_score_linear": f"WITH {ITEMS} "
@@ -205,8 +205,7 @@ SELECT CAST(datetime AS DATE) AS "CalendarDate", dayname(datetime) AS "CalendarD
        deviceName AS "deviceName", location, sensor1, sensor2, sensor3, sensor4, sensor5,
        round(3.0 + 0.05 * sensor1 + 0.00002 * sensor2 - 1.5 * sensor3 + 2.0 * sensor4, 6)
          AS "sensor5Prediction",
-       round(sensor2 - sensor1, 6) AS "sensor2Variance",
-       round(sensor4 - sensor3, 6) AS "sensor4Variance"
+       sensor2 - sensor1 AS "sensor2Variance", sensor4 - sensor3 AS "sensor4Variance"
 FROM items JOIN suppliers USING (device)""",
     "silver_stream": _SILVER,
     "stream_limit": "SELECT least(500, count(*)) AS row_count FROM events",

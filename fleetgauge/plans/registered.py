@@ -104,13 +104,13 @@ def _event_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _present(df: DataFrame) -> DataFrame:
-    return b.rounded(b.wall_clock(df))
-
-
-def _present_alerts(found: DataFrame) -> DataFrame:
-    return _present(
-        found.drop("window").withColumnsRenamed({"start": "window_start", "end": "window_end"})
-    )
+    """Gold or alert rows for comparison: flat, wall clock times, rounded."""
+    if "start" in df.columns:
+        df = df.drop("window").withColumnsRenamed({"start": "window_start", "end": "window_end"})
+    else:
+        df = flatten_window(df)
+    computed = [c for c in df.columns if c.endswith("_avg") or c == "Threshold"]
+    return b.rounded(b.wall_clock(df), *computed)
 
 
 # Sources
@@ -216,7 +216,7 @@ def silver_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
         b.item_dates(spark, sf_dir),
         linear_scorer(WEIGHTS, INTERCEPT),
     )
-    return _present(silver)
+    return b.rounded(b.wall_clock(silver), "sensor5Prediction")
 
 
 def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,7 +282,7 @@ def expectation_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_window_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _present(flatten_window(_event_gold(spark, sf_dir)))
+    return _present(_event_gold(spark, sf_dir))
 
 
 def sensor_wide_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -290,7 +290,7 @@ def sensor_wide_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = enrich(
         b.item_readings(spark, sf_dir), b.item_devices(spark, sf_dir), b.item_dates(spark, sf_dir)
     )
-    return _present(flatten_window(window_averages(silver)))
+    return _present(window_averages(silver))
 
 
 def _gold_stream(spark: SparkSession, sf_dir: str, mode: str) -> str:
@@ -313,39 +313,42 @@ def _gold_stream(spark: SparkSession, sf_dir: str, mode: str) -> str:
 def gold_window_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Complete mode: the last snapshot holds every group."""
     path = _gold_stream(spark, sf_dir, "complete")
-    return _present(flatten_window(read_latest(spark, path)))
+    return _present(read_latest(spark, path))
 
 
 def gold_additive_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same answer from stateless partial sums."""
     path = _gold_stream(spark, sf_dir, "additive")
-    return _present(flatten_window(read_additive_gold(spark, path, b.EVENT_SENSORS)))
+    return _present(read_additive_gold(spark, path, b.EVENT_SENSORS))
 
 
 def gold_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append mode: windows the watermark has closed."""
     path = _gold_stream(spark, sf_dir, "append")
-    return _present(flatten_window(spark.read.parquet(path)))
+    return _present(spark.read.parquet(path))
 
 
 # Thresholds and alerts
 
 
 def threshold_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return b.rounded(device_statistics(_event_gold(spark, sf_dir), MEASURE))
+    found = device_statistics(_event_gold(spark, sf_dir), MEASURE)
+    return b.rounded(found, "sensor1_Avg", "sensor1_Max", "sensor1_Std")
 
 
 def thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return b.rounded(derive_thresholds(_event_gold(spark, sf_dir), measure=MEASURE))
+    return b.rounded(
+        derive_thresholds(_event_gold(spark, sf_dir), measure=MEASURE), "Threshold"
+    )
 
 
 def alerts_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _present_alerts(_event_layers(spark, sf_dir).alerts)
+    return _present(_event_layers(spark, sf_dir).alerts)
 
 
 def alerts_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = _event_layers(spark, sf_dir)
-    return _present_alerts(alerts(layers.gold, layers.thresholds, MEASURE, ordered=True))
+    return _present(alerts(layers.gold, layers.thresholds, MEASURE, ordered=True))
 
 
 def alerts_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -353,7 +356,7 @@ def alerts_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = batch_layers(
         b.item_readings(spark, sf_dir), b.item_devices(spark, sf_dir), b.item_dates(spark, sf_dir)
     )
-    return _present_alerts(layers.alerts)
+    return _present(layers.alerts)
 
 
 def alerts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -371,7 +374,7 @@ def alerts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         sensors=b.EVENT_SENSORS,
         measure=MEASURE,
     )
-    return _present_alerts(spark.read.parquet(settings.data_path("alerts")))
+    return _present(spark.read.parquet(settings.data_path("alerts")))
 
 
 # Messages
@@ -411,15 +414,7 @@ def landing_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
             partition_by=("stream_date",),
         )
     )
-    return (
-        spark.read.parquet(out)
-        .groupBy("stream_date", "event_type")
-        .agg(
-            F.count(F.lit(1)).alias("messages"),
-            F.sum("sequenceNumber").alias("sequence_sum"),
-            F.round(F.sum(F.col("value").cast("double")), 4).alias("value_sum"),
-        )
-    )
+    return spark.read.parquet(out)
 
 
 def stream_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -437,9 +432,8 @@ def stream_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scored_rows(df: DataFrame) -> DataFrame:
-    return b.rounded(
-        df.select("l_orderkey", "l_partkey", "device", "sensor5", "sensor5Prediction")
-    )
+    kept = df.select("l_orderkey", "l_partkey", "device", "sensor5", "sensor5Prediction")
+    return b.rounded(kept, "sensor5Prediction")
 
 
 def model_score_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -457,10 +451,10 @@ def model_registered_function(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit, register, promote, load by stage, and call from SQL."""
     readings = b.item_readings(spark, sf_dir)
     registry = ModelRegistry(spark, fresh_path(spark, "models"))
-    version = registry.register("SensorModel", fit_linear(readings))
-    registry.describe("SensorModel", version, "Predicts sensor5 from the first four sensors.")
-    registry.transition("SensorModel", version, "Production")
-    register_function(spark, registry.load("SensorModel", stage="Production"), "sensorPredictor")
+    version = registry.register("SensorRegression", fit_linear(readings))
+    registry.describe("SensorRegression", version, "Predicts sensor5 from the first four sensors.")
+    registry.transition("SensorRegression", version, "Production")
+    register_function(spark, registry.load("SensorRegression", stage="Production"), "sensorPredictor")
     readings.createOrReplaceTempView("fleet_readings")
     return _scored_rows(
         spark.sql(
@@ -589,12 +583,12 @@ def bi_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bi_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _present_alerts(_saved(spark, sf_dir, "gold").gold())
+    return _present(_saved(spark, sf_dir, "gold").gold())
 
 
 def bi_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     saved = _saved(spark, sf_dir, "gold", "thresholds")
-    return _present_alerts(saved.alerts(ordered=True, measure=MEASURE))
+    return _present(saved.alerts(ordered=True, measure=MEASURE))
 
 
 def bi_device_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -616,12 +610,13 @@ def bi_star_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = star["fact_reading"].groupBy("device", "CalendarDate").agg(
         F.count(F.lit(1)).alias("n"), F.sum("sensor1").alias("total")
     )
-    return b.rounded(
+    by_place = (
         fact.join(star["dim_device"], "device")
         .join(star["dim_calendar"], "CalendarDate")
         .groupBy("location", "CalendarDay", "IsWeekDay")
         .agg(F.sum("n").alias("readings"), (F.sum("total") / F.sum("n")).alias("sensor1_avg"))
     )
+    return b.rounded(by_place, "sensor1_avg")
 
 
 REGISTERED: tuple[Query, ...] = (

@@ -6,9 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 
-def overwrite_table(df: DataFrame, table: str, path: str, fmt: str = "parquet") -> DataFrame:
+def overwrite_table(
+    df: DataFrame,
+    table: str,
+    path: str,
+    fmt: str = "parquet",
+    partition_by: tuple[str, ...] = (),
+) -> DataFrame:
     """Replace an external table, and return it."""
-    df.write.format(fmt).mode("overwrite").option("path", path).saveAsTable(table)
+    writer = df.write.format(fmt).mode("overwrite").option("path", path)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(table)
     return df.sparkSession.table(table)
 
 

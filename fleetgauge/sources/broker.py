@@ -49,7 +49,7 @@ def starting_offsets(
 ) -> str:
     """Start position in the source's own words.
 
-    Takes ``"earliest"``, ``"latest"``, the event-hub spellings ``"-1"`` and
+    Takes ``"earliest"``, ``"latest"``, the AMQP spellings ``"-1"`` and
     ``"@latest"`` of the same, or offsets by partition.
     """
     if isinstance(position, dict):
