@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+
+
+def _round(expression: str, digits: int = 6) -> str:
+    """Rounded off exact halves; see ``bindings.rounded``."""
+    return f"round({expression} + 1e-9, {digits})"
+
+
 K = "CAST(json_extract_string(props, '$.k') AS DOUBLE)"
 
 READINGS = f"""
@@ -65,13 +72,19 @@ SILVER_COLUMNS = (
     "CalendarDate, CalendarDay, hourOfDay, datetime, device, deviceName, location, "
     "sensor1, sensor2, sensor2Variance"
 )
-GOLD_COLUMNS = (
-    "window_start, window_end, deviceName, "
-    "round(sensor1_avg, 6) AS sensor1_avg, round(sensor2_avg, 6) AS sensor2_avg"
-)
-WIDE_COLUMNS = "window_start, window_end, deviceName, " + ", ".join(
-    f"round(sensor{i}_avg, 6) AS sensor{i}_avg" for i in range(1, 6)
-)
+
+
+def _gold_columns(sensors: int) -> str:
+    averages = [f"sensor{i}_avg" for i in range(1, sensors + 1)]
+    return ", ".join(
+        ["window_start", "window_end", "deviceName", *[f"{_round(a)} AS {a}" for a in averages]]
+    )
+
+
+GOLD_COLUMNS = _gold_columns(2)
+WIDE_COLUMNS = _gold_columns(5)
+LIMIT = _round("Threshold") + ' AS "Threshold"'
+PREDICTION = "3.0 + 0.05 * sensor1 + 0.00002 * sensor2 - 1.5 * sensor3 + 2.0 * sensor4"
 
 DIM_DATE = """
 SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS "dateInt",
@@ -92,9 +105,9 @@ FROM (
 )"""
 
 
-def _scored(prediction: str, source: str = "items") -> str:
+def _scored(prediction: str, source: str = "items", digits: int = 6) -> str:
     return (
-        f"SELECT l_orderkey, l_partkey, device, sensor5, round({prediction}, 6) "
+        f"SELECT l_orderkey, l_partkey, device, sensor5, {_round(prediction, digits)} "
         f'AS "sensor5Prediction" FROM {source}'
     )
 
@@ -121,11 +134,11 @@ def _least_squares() -> str:
                 cells.append(f"{new} AS a{i}{j}")
         steps.append(f"e{k + 1} AS (SELECT {', '.join(cells)}, {kept} FROM e{k})")
     terms = " + ".join(f"a{i}4 * (sensor{i + 1} - m{i})" for i in range(4))
-    return f"WITH {', '.join(steps)} " + _scored(f"m4 + {terms}", "items, e4")
+    return f"WITH {', '.join(steps)} " + _scored(f"m4 + {terms}", "items, e4", 4)
 
 
 _ALERTS = f"""WITH {LIMITS}
-SELECT {GOLD_COLUMNS}, round(Threshold, 6) AS "Threshold"
+SELECT {GOLD_COLUMNS}, {LIMIT}
 FROM gold JOIN limits USING (deviceName) WHERE sensor1_avg > Threshold"""
 
 _GOLD = f"WITH {GOLD} SELECT {GOLD_COLUMNS} FROM gold"
@@ -153,7 +166,7 @@ ORACLES: dict[str, str] = {
     "alerts_wide": f"""WITH {WIDE_GOLD}, limits AS (
   SELECT deviceName, max(sensor5_avg) - (max(sensor5_avg) - max(sensor5_avg) * 0.97) AS Threshold
   FROM gold GROUP BY deviceName)
-SELECT {WIDE_COLUMNS}, round(Threshold, 6) AS "Threshold"
+SELECT {WIDE_COLUMNS}, {LIMIT}
 FROM gold JOIN limits USING (deviceName) WHERE sensor5_avg > Threshold""",
     "bi_alerts": _ALERTS + " ORDER BY deviceName",
     "bi_device_silver": _SILVER + " WHERE device = 8",
@@ -163,7 +176,7 @@ FROM gold JOIN limits USING (deviceName) WHERE sensor5_avg > Threshold""",
     "bi_star_schema": f"""WITH {SILVER}
 SELECT location, CalendarDay AS "CalendarDay",
        CASE WHEN isodow(CalendarDate) < 6 THEN 'Y' ELSE 'N' END AS "IsWeekDay",
-       count(*) AS readings, round(avg(sensor1), 6) AS sensor1_avg
+       count(*) AS readings, {_round("avg(sensor1)")} AS sensor1_avg
 FROM silver GROUP BY ALL""",
     "bronze_stream_ingest": _READINGS,
     "compact_partitioned": _READINGS.replace(
@@ -191,7 +204,7 @@ FROM events""",
     "model_fit_linear": _least_squares(),
     "model_registered_function": _least_squares(),
     "model_score_linear": f"WITH {ITEMS} "
-    + _scored("3.0 + 0.05 * sensor1 + 0.00002 * sensor2 - 1.5 * sensor3 + 2.0 * sensor4"),
+    + _scored(PREDICTION),
     "model_stream_score": _least_squares(),
     "sensor_wide_windows": f"WITH {WIDE_GOLD} SELECT {WIDE_COLUMNS} FROM gold",
     "silver_enriched": _SILVER,
@@ -203,8 +216,7 @@ FROM events""",
 SELECT CAST(datetime AS DATE) AS "CalendarDate", dayname(datetime) AS "CalendarDay",
        CAST(hour(datetime) AS INTEGER) AS "hourOfDay", datetime, device,
        deviceName AS "deviceName", location, sensor1, sensor2, sensor3, sensor4, sensor5,
-       round(3.0 + 0.05 * sensor1 + 0.00002 * sensor2 - 1.5 * sensor3 + 2.0 * sensor4, 6)
-         AS "sensor5Prediction",
+       {_round(PREDICTION)} AS "sensor5Prediction",
        sensor2 - sensor1 AS "sensor2Variance", sensor4 - sensor3 AS "sensor4Variance"
 FROM items JOIN suppliers USING (device)""",
     "silver_stream": _SILVER,
@@ -215,11 +227,11 @@ UNION ALL SELECT 'thresholds', count(DISTINCT deviceName) FROM gold
 UNION ALL SELECT 'dim_date', CAST(datediff('day', min(l_shipdate), max(l_shipdate)) + 1 AS BIGINT)
 FROM lineitem""",
     "threshold_statistics": f"""WITH {GOLD}
-SELECT deviceName AS "deviceName", round(avg(sensor1_avg), 6) AS "sensor1_Avg",
-       round(max(sensor1_avg), 6) AS "sensor1_Max", round(stddev(sensor1_avg), 6) AS "sensor1_Std"
+SELECT deviceName AS "deviceName", {_round("avg(sensor1_avg)")} AS "sensor1_Avg",
+       {_round("max(sensor1_avg)")} AS "sensor1_Max", {_round("stddev(sensor1_avg)")} AS "sensor1_Std"
 FROM gold GROUP BY deviceName""",
     "thresholds": f"""WITH {LIMITS}
-SELECT deviceName AS "deviceName", round(Threshold, 6) AS "Threshold" FROM limits""",
+SELECT deviceName AS "deviceName", {LIMIT} FROM limits""",
     "training_table_count": "SELECT count(*) AS row_count FROM lineitem",
     "unmatched_counts": f"""WITH {READINGS},{DEVICES}, flagged AS (
   SELECT d.device IS NULL AS stranger,

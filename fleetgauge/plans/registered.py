@@ -431,14 +431,14 @@ def stream_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Models
 
 
-def _scored_rows(df: DataFrame) -> DataFrame:
+def _scored_rows(df: DataFrame, digits: int = 4) -> DataFrame:
     kept = df.select("l_orderkey", "l_partkey", "device", "sensor5", "sensor5Prediction")
-    return b.rounded(kept, "sensor5Prediction")
+    return b.rounded(kept, "sensor5Prediction", digits=digits)
 
 
 def model_score_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = b.item_readings(spark, sf_dir)
-    return _scored_rows(linear_scorer(WEIGHTS, INTERCEPT)(readings))
+    return _scored_rows(linear_scorer(WEIGHTS, INTERCEPT)(readings), digits=6)
 
 
 def model_fit_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
