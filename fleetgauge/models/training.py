@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import math
+import time
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,36 +72,48 @@ def train_sensor_model(
     train_ratio: float = 0.8,
     seed: int = 1,
     parallelism: int = 4,
+    timeout_minutes: float | None = None,
 ) -> Search:
     """Fit each family over its grid and keep the best on held-out rows.
 
     Features are the given ones, or every column but the target and
-    ``exclude``. All families share one split, which is cached once while
-    they are fitted; only the winner is fitted again, on all rows.
+    ``exclude``. All trials share one split, cached while they are fitted;
+    only the winner is fitted again, on all rows. Past ``timeout_minutes`` no
+    further trial starts; the first one always runs.
     """
     if features is None:
         features = tuple(c for c in df.columns if c != target and c not in exclude)
     rows = df.select(*features, target).where(F.col(target).isNotNull())
     evaluator = RegressionEvaluator(labelCol=target, predictionCol=PREDICTION, metricName=metric)
     better = max if evaluator.isLargerBetter() else min
+    deadline = math.inf if timeout_minutes is None else time.monotonic() + 60 * timeout_minutes
 
-    chain = Pipeline(stages=[])
     trials = [
-        (family, {chain.stages: [assembler(features), estimator], **params})
+        (family, Pipeline(stages=[assembler(features), estimator]), params)
         for family, (estimator, grid) in candidates(target, families).items()
         for params in grid
     ]
-    search = TrainValidationSplit(
-        estimator=chain,
-        estimatorParamMaps=[trial for _, trial in trials],
-        evaluator=evaluator,
-        trainRatio=train_ratio,
-        seed=seed,
-        parallelism=parallelism,
-    ).fit(rows)
-
+    drawn = rows.withColumn("_drawn", F.rand(seed)).persist(StorageLevel.MEMORY_AND_DISK)
+    train = drawn.where(F.col("_drawn") < train_ratio)
+    held_out = drawn.where(F.col("_drawn") >= train_ratio)
+
+    @inheritable_thread_target(df.sparkSession)
+    def attempt(number: int) -> float | None:
+        if number > 0 and time.monotonic() > deadline:
+            return None
+        _, chain, params = trials[number]
+        return evaluator.evaluate(chain.fit(train, params).transform(held_out))
+
+    try:
+        with ThreadPool(parallelism) as pool:
+            values = pool.map(attempt, range(len(trials)), chunksize=1)
+    finally:
+        drawn.unpersist()
+
+    done = [number for number, value in enumerate(values) if value is not None]
     scores: dict[str, float] = {}
-    for (family, _), value in zip(trials, search.validationMetrics):
-        scores[family] = better(scores.get(family, value), value)
-    family = better(scores, key=scores.get)
-    return Search(search.bestModel, family, metric, scores[family], scores)
+    for number in done:
+        family = trials[number][0]
+        scores[family] = better(scores.get(family, values[number]), values[number])
+    family, chain, params = trials[better(done, key=lambda number: values[number])]
+    return Search(chain.fit(rows, params), family, metric, scores[family], scores)

@@ -22,10 +22,10 @@ def _folder(path: str, batch: int) -> str:
     return f"{path.rstrip('/')}/{_PREFIX}{batch}"
 
 
-def finished_batches(spark: SparkSession, path: str) -> list[int]:
-    """Batches whose write job has committed, in order."""
+def finished_batches(spark: SparkSession, path: str, after: int = -1) -> list[int]:
+    """Batches later than ``after`` whose write job has committed, in order."""
     found = [n for n in storage.names(spark, path) if n.startswith(_PREFIX)]
-    numbers = sorted(int(n.removeprefix(_PREFIX)) for n in found)
+    numbers = sorted(n for n in (int(f.removeprefix(_PREFIX)) for f in found) if n > after)
     return [b for b in numbers if storage.exists(spark, f"{_folder(path, b)}/_SUCCESS")]
 
 

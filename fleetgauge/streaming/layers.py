@@ -99,7 +99,7 @@ def _partials(
     """Every partial row once, and the last batch among them that is not folded."""
     folds = finished_batches(spark, f"{path}/folded")
     upto = folds[-1] if folds else -1
-    later = [n for n in finished_batches(spark, path) if n > upto]
+    later = finished_batches(spark, path, after=upto)
     columns = ["window", "deviceName", *[f"{s}_{k}" for k in ("sum", "n") for s in sensors]]
     parts = []
     if folds:

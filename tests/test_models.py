@@ -53,6 +53,11 @@ def test_search_by_an_error_metric_takes_the_smallest(signal):
     assert found.score == min(found.scores.values())
 
 
+def test_search_stops_at_its_time_limit(signal):
+    found = train_sensor_model(signal, features=FOUR, timeout_minutes=0, parallelism=1)
+    assert found.scores == {"linear": found.score} and found.score > 0.99
+
+
 def test_rows_without_target_are_left_out(signal):
     gaps = signal.withColumn("sensor5", F.when(F.col("device") % 2 == 0, F.col("sensor5")))
     weights = fit_linear(gaps).stages[-1].coefficients.toArray()
