@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetgauge import storage
+from fleetgauge.session import MOST_PARTITIONS
 
 
 def init_catalog(
@@ -96,7 +97,7 @@ def compact_path(
     spark: SparkSession,
     source: str,
     target: str,
-    file_bytes: int = 256 * 1024 * 1024,
+    file_bytes: int = 2**30,
     partition_by: str | None = None,
 ) -> str:
     """Rewrite many small parquet files as few of about ``file_bytes`` each.
@@ -113,7 +114,7 @@ def compact_path(
         # A hot partition is split between the tasks that read it, so none
         # of them may read more than one file's worth.
         session.conf.set("spark.sql.files.maxPartitionBytes", str(file_bytes))
-        wanted = math.ceil(storage.total_bytes(spark, source) / file_bytes)
+        wanted = min(math.ceil(storage.total_bytes(spark, source) / file_bytes), MOST_PARTITIONS)
         current = int(spark.conf.get("spark.sql.shuffle.partitions"))
         session.conf.set("spark.sql.shuffle.partitions", str(max(wanted, current)))
         df = session.read.parquet(source)
@@ -131,7 +132,7 @@ def compact_table(
     spark: SparkSession,
     table: str,
     base_path: str,
-    file_bytes: int = 256 * 1024 * 1024,
+    file_bytes: int = 2**30,
     partition_by: str | None = None,
 ) -> DataFrame:
     """Compact a table's files into a new folder, then point the table there.

@@ -86,20 +86,7 @@ def observe(df: DataFrame, rules: Iterable[Expectation], name: str = "quality")
     """Count rule results while the rows pass by, at no extra pass.
 
     Put it before :func:`apply_expectations`. A streaming query reports the
-    counts of each micro-batch in its progress under ``name``.
+    counts of each micro-batch in its progress under ``name``; see
+    ``streaming.quality.RuleCounts`` for totals.
     """
     return df.observe(name, *metric_columns(rules))
-
-
-def observed_totals(progress: Iterable, rules: Iterable[Expectation], name: str = "quality"):
-    """Sum the observed counts of a streaming query's progress reports."""
-    totals = {r.name: {"passed": 0, "failed": 0, "nulls": 0} for r in rules}
-    for report in progress:
-        row = report.observedMetrics.get(name)
-        if row is None:
-            continue
-        counts = row.asDict()
-        for rule, kinds in totals.items():
-            for kind in kinds:
-                kinds[kind] += counts[f"{rule}_{kind}"] or 0
-    return totals

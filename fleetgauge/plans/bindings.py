@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from fleetgauge import storage
 from fleetgauge.operators.dimensions import date_dimension, date_dimension_for, device_dimension
 from fleetgauge.schemas import SENSORS, ReadingSpec
-from fleetgauge.session import fresh_path
+from fleetgauge.session import MOST_PARTITIONS, fresh_path, widen_shuffles
 from fleetgauge.streaming.replay import replay_files
 
 EVENT_SENSORS = SENSORS[:2]
@@ -42,12 +42,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _readings(df: DataFrame, spec: ReadingSpec) -> DataFrame:
+    readings = spec.bind(df)
+    widen_shuffles(readings)
+    return readings
+
+
 def event_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return EVENTS.bind(table(spark, sf_dir, "events"))
+    return _readings(table(spark, sf_dir, "events"), EVENTS)
 
 
 def item_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return LINEITEM.bind(table(spark, sf_dir, "lineitem"))
+    return _readings(table(spark, sf_dir, "lineitem"), LINEITEM)
 
 
 def event_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,14 +110,14 @@ class Replayed:
 
 
 def replayed(df: DataFrame, sf_dir: str, source: str, fmt: str = "parquet") -> Replayed:
-    """Replay readings into files of at most about 1 GB, at least eight.
+    """Replay readings into files of about 1 GB, at least eight.
 
     A micro-batch takes as many files as keep the cores busy, but no more
     than a quarter of them, so that there are several batches at any size.
     """
     spark = df.sparkSession
     size = storage.total_bytes(spark, f"{sf_dir}/{source}.parquet")
-    slices = max(8, math.ceil(size / 2**30))
+    slices = max(8, min(math.ceil(size / 2**30), MOST_PARTITIONS))
     path = fresh_path(spark, f"replay-{source}")
     files = replay_files(df, path, "datetime", slices, fmt)
     cores = spark.sparkContext.defaultParallelism

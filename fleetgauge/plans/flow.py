@@ -20,11 +20,11 @@ from fleetgauge.operators.quality import (
     apply_expectations,
     metric_columns,
     observe,
-    observed_totals,
 )
 from fleetgauge.settings import Settings
 from fleetgauge.sinks.tables import overwrite_table, stream_to_table
 from fleetgauge.sources.tables import stream_table
+from fleetgauge.streaming.quality import RuleCounts
 from fleetgauge.streaming.runner import drain, start_in_pool
 
 Builder = Callable[[SparkSession, Mapping[str, DataFrame]], DataFrame]
@@ -53,6 +53,7 @@ class Flow:
     nodes: dict[str, Node] = field(default_factory=dict)
     queries: dict[str, StreamingQuery] = field(default_factory=dict)
     _observations: dict[str, Observation] = field(default_factory=dict)
+    _counts: RuleCounts | None = None
 
     def _add(self, node: Node) -> None:
         if node.name in self.nodes:
@@ -150,6 +151,9 @@ class Flow:
         else:
             if node.expectations:
                 df = observe(df, node.expectations)
+                if self._counts is None:
+                    self._counts = RuleCounts()
+                    self.spark.streams.addListener(self._counts)
             df = apply_expectations(df, node.expectations)
             pools = self.settings.pools
             pool = pools[len(self.queries) % len(pools)] if pools else None
@@ -176,14 +180,19 @@ class Flow:
         return stored
 
     def stop(self) -> None:
+        """Stop what still runs; counts of rules stay readable."""
         for query in self.queries.values():
             query.stop()
+        if self._counts is not None:
+            for name, query in self.queries.items():
+                self._counts.totals(query, self.nodes[name].expectations)
+            self.spark.streams.removeListener(self._counts)
 
     def quality(self, name: str) -> dict[str, dict[str, int]]:
         """Passed, failed and null counts per rule of the last run of a table."""
         rules = self.nodes[name].expectations
         if name in self.queries:
-            return observed_totals(self.queries[name].recentProgress, rules)
+            return self._counts.totals(self.queries[name], rules)
         counts = self._observations[name].get
         return {
             r.name: {k: counts[f"{r.name}_{k}"] for k in ("passed", "failed", "nulls")}

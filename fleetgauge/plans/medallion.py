@@ -15,7 +15,7 @@ from fleetgauge.operators.silver import Scorer, enrich
 from fleetgauge.operators.thresholds import derive_thresholds
 from fleetgauge.operators.windows import window_averages
 from fleetgauge.schemas import SENSORS
-from fleetgauge.session import stateful_session, stored
+from fleetgauge.session import stateful_session, stored, widen_shuffles
 from fleetgauge.settings import Settings
 from fleetgauge.sinks.tables import stream_to_path
 from fleetgauge.sources.files import stream_files
@@ -50,6 +50,7 @@ def batch_layers(
     to the shared folder first, so that the readings are scanned and shuffled
     once and gold, with the thresholds broadcast, not again.
     """
+    widen_shuffles(readings)
     silver = enrich(readings, devices, dates, scorer, sensors)
     gold = window_averages(silver, sensors, window)
     if thresholds is None:

@@ -542,12 +542,15 @@ def _silver_flow(spark: SparkSession, sf_dir: str) -> Flow:
 
 def flow_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     flow = _silver_flow(spark, sf_dir)
+    flow.stop()
     return b.wall_clock(spark.table(flow.settings.table("silver")))
 
 
 def flow_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts observed while the flow's stream ran."""
-    counts = _silver_flow(spark, sf_dir).quality("silver")
+    flow = _silver_flow(spark, sf_dir)
+    flow.stop()
+    counts = flow.quality("silver")
     rows = [(rule, c["passed"], c["failed"], c["nulls"]) for rule, c in counts.items()]
     return spark.createDataFrame(rows, "rule string, passed bigint, failed bigint, nulls bigint")
 

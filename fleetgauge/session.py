@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+# The driver tracks every map task against every reducer. Beyond this many,
+# larger partitions, which may spill, cost less than the bookkeeping.
+MOST_PARTITIONS = 20_000
+
 _local_folders: dict[str, str] = {}
 
 
@@ -45,15 +49,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def size_shuffles(spark: SparkSession, shuffled_bytes: int, target: int = 128 * 2**20) -> int:
-    """Set the shuffle width for the volume at hand.
+def widen_shuffles(df: DataFrame, target: int = 256 * 2**20) -> int:
+    """Raise the session's shuffle width to suit a frame that will be shuffled.
 
     Adaptive execution merges partitions that turn out small, but it cannot
-    make more of them, so the number has to suit the largest shuffle.
+    make more of them. The optimizer's size estimate is used, which runs
+    nothing. Never lowers the setting, and stops at ``MOST_PARTITIONS``.
     """
-    wanted = max(spark.sparkContext.defaultParallelism, math.ceil(shuffled_bytes / target))
-    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return wanted
+    spark = df.sparkSession
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(math.ceil(estimate / target), MOST_PARTITIONS)
+    if wanted > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return max(wanted, current)
 
 
 def stateful_session(

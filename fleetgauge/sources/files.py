@@ -36,11 +36,14 @@ def stream_files(
     fmt: str = "json",
     max_files: int | None = None,
     max_bytes: str | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
     """Stream the files of a folder as they appear, oldest first.
 
     ``max_files`` and ``max_bytes`` throttle a micro-batch; Spark takes one
-    of them. Without a schema, parquet takes that of the files present.
+    of them. Without a schema, parquet takes that of the files present. Every
+    trigger lists the folder, so a folder that fills up for long should move
+    finished files to ``archive``, a folder outside it.
     """
     if max_files and max_bytes:
         raise ValueError("throttle by files or by bytes, not by both")
@@ -53,6 +56,8 @@ def stream_files(
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.load(path)
 
 
@@ -65,6 +70,7 @@ def ingest_files(
     max_bytes: str | None = None,
     stamp: str = "event",
     time_col: str = "datetime",
+    archive: str | None = None,
 ) -> DataFrame:
     """Incremental ingest of readings.
 
@@ -73,7 +79,7 @@ def ingest_files(
     """
     if stamp not in ("event", "arrival"):
         raise ValueError(f"unknown stamp {stamp!r}")
-    df = stream_files(spark, path, schema, fmt, max_files, max_bytes)
+    df = stream_files(spark, path, schema, fmt, max_files, max_bytes, archive)
     if stamp == "arrival":
         df = df.withColumn(time_col, F.current_timestamp())
     return df

@@ -1,0 +1,47 @@
+"""Totals of the rule counts that streaming queries observe."""
+
+from __future__ import annotations
+
+import threading
+from collections import Counter, defaultdict
+from collections.abc import Iterable
+
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+
+from fleetgauge.operators.quality import Expectation
+
+
+class RuleCounts(StreamingQueryListener):
+    """Adds up observed counts of every micro-batch, however many there are.
+
+    A query itself remembers only its latest progress reports. Register with
+    ``spark.streams.addListener`` before the query starts.
+    """
+
+    def __init__(self) -> None:
+        self._counts: dict[str, Counter] = defaultdict(Counter)
+        self._ended: dict[str, threading.Event] = defaultdict(threading.Event)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        for row in progress.observedMetrics.values():
+            self._counts[str(progress.runId)].update(row.asDict())
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended[str(event.runId)].set()
+
+    def totals(
+        self, query: StreamingQuery, rules: Iterable[Expectation], timeout: float = 60
+    ) -> dict[str, dict[str, int]]:
+        """Counts per rule of one run; of an ended run, once all have come in."""
+        run = str(query.runId)
+        if not query.isActive and not self._ended[run].wait(timeout):
+            raise TimeoutError(f"no end of run {run} reported in {timeout} s")
+        counts = self._counts[run]
+        return {
+            r.name: {k: counts[f"{r.name}_{k}"] for k in ("passed", "failed", "nulls")}
+            for r in rules
+        }

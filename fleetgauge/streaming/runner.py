@@ -32,6 +32,7 @@ def drain(query: StreamingQuery) -> StreamingQuery:
 
 
 def rows_read(query: StreamingQuery) -> int:
+    """Rows of the micro-batches that the query still has reports of."""
     return sum(p.numInputRows for p in query.recentProgress)
 
 

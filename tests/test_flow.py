@@ -84,6 +84,25 @@ def test_streaming_flow_picks_up_where_it_stopped(spark, settings, ten, tmp_path
     assert spark.table(place.table("kept")).count() == 10
 
 
+def test_rule_counts_outlast_the_progress_reports(spark, settings, ten, tmp_path):
+    """More micro-batches than a query remembers reports of."""
+    source = str(tmp_path / "in")
+    replay_files(ten, source, "datetime", 8)
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        flow = Flow(spark, settings())
+        flow.view("raw", lambda s, i: ingest_files(s, source, READING_SCHEMA, max_files=1))
+        flow.table("kept", lambda s, i: i["raw"], reads=("raw",), expectations=(RULE,))
+        flow.run()
+        assert len(flow.queries["kept"].recentProgress) <= 2
+        assert flow.quality("kept") == {"small": {"passed": 5, "failed": 5, "nulls": 0}}
+        flow.stop()
+        assert flow.quality("kept") == {"small": {"passed": 5, "failed": 5, "nulls": 0}}
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+
+
 def test_running_flow_can_be_stopped(spark, settings, ten, tmp_path):
     source = str(tmp_path / "in")
     replay_files(ten, source, "datetime", 1)

@@ -357,6 +357,18 @@ def test_arrival_stamp(spark, readings, tmp_path):
         assert spark.read.parquet(out).first().datetime.year == year
 
 
+def test_finished_files_are_archived(spark, tmp_path):
+    source = write_slices(spark, tmp_path / "in", [[(i, 0, "a", 1.0)] for i in range(4)])
+    for _ in range(2):  # a file is moved when a later batch finishes
+        stream = ingest_files(
+            spark, source, READING_SCHEMA, max_files=1, archive=str(tmp_path / "old")
+        )
+        out = str(tmp_path / "out")
+        drain(stream_to_path(stream, out, f"{out}-cp", trigger="availableNow"))
+        assert spark.read.parquet(out).count() == 4
+    assert len(list((tmp_path / "old").rglob("*.json"))) >= 3
+
+
 def test_silver_stream_equals_batch(spark, readings, devices, dates, tmp_path):
     df = readings(*[(i % 5, f"00:{i:02d}:00", float(i)) for i in range(30)])
     replay_files(df, str(tmp_path / "in"), "datetime", 3)

@@ -2,7 +2,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetgauge import catalog, storage
-from fleetgauge.session import fresh_path, shared_folder, size_shuffles, stateful_session, stored
+from fleetgauge.session import (
+    MOST_PARTITIONS,
+    fresh_path,
+    shared_folder,
+    stateful_session,
+    stored,
+    widen_shuffles,
+)
 from fleetgauge.sinks.tables import overwrite_path, overwrite_table, preview
 from fleetgauge.sources.files import infer_schema, load_reference_csv, read_json
 from fleetgauge.sources.tables import read_table, register_stream, view_of_table
@@ -164,13 +171,23 @@ def test_shared_folder(spark):
         shared_folder(Unset(spark, "yarn"))
 
 
-def test_session_sizes(spark):
+def test_shuffles_are_widened_but_never_narrowed(spark, tmp_path):
+    spark.range(100000).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
-        assert size_shuffles(spark, 100 * 2**40) == 819200
-        assert size_shuffles(spark, 0) == spark.sparkContext.defaultParallelism
+        assert widen_shuffles(df) == int(before)
+        wide = widen_shuffles(df, target=10_000)
+        assert int(before) < wide < 200
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(wide)
+        assert widen_shuffles(df) == wide
+        assert widen_shuffles(df, target=1) == MOST_PARTITIONS
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_stateful_session_is_apart(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
     sister = stateful_session(spark, partitions=3)
     assert sister.conf.get("spark.sql.shuffle.partitions") == "3"
     assert sister.conf.get("spark.sql.session.timeZone") == "UTC"
@@ -180,3 +197,8 @@ def test_session_sizes(spark):
 def test_preview(spark, capsys):
     assert preview(spark.range(2)) is None
     assert "id" in capsys.readouterr().out
+    query = preview(spark.readStream.format("rate").load(), rows=1)
+    try:
+        assert query.isActive
+    finally:
+        query.stop()
