@@ -57,7 +57,7 @@ def widen_shuffles(df: DataFrame, target: int = 256 * 2**20) -> int:
     nothing. Never lowers the setting, and stops at ``MOST_PARTITIONS``.
     """
     spark = df.sparkSession
-    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = min(math.ceil(estimate / target), MOST_PARTITIONS)
     if wanted > current:
