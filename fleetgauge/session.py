@@ -53,11 +53,15 @@ def widen_shuffles(df: DataFrame, target: int = 256 * 2**20) -> int:
     """Raise the session's shuffle width to suit a frame that will be shuffled.
 
     Adaptive execution merges partitions that turn out small, but it cannot
-    make more of them. The optimizer's size estimate is used, which runs
-    nothing. Never lowers the setting, and stops at ``MOST_PARTITIONS``.
+    make more of them. What the frame reads is added up from the statistics
+    of its sources, which runs nothing; sources of unknown size do not count.
+    Never lowers the setting, and stops at ``MOST_PARTITIONS``.
     """
     spark = df.sparkSession
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    unknown = int(spark.conf.get("spark.sql.defaultSizeInBytes"))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    estimate = sum(size for size in sizes if size < unknown)
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = min(math.ceil(estimate / target), MOST_PARTITIONS)
     if wanted > current:

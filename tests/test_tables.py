@@ -177,6 +177,8 @@ def test_shuffles_are_widened_but_never_narrowed(spark, tmp_path):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         assert widen_shuffles(df) == int(before)
+        unsized = spark.createDataFrame([(1,)], "id bigint")
+        assert widen_shuffles(unsized.join(df, "id").join(df, "id")) == int(before)
         wide = widen_shuffles(df, target=10_000)
         assert int(before) < wide < 200
         assert spark.conf.get("spark.sql.shuffle.partitions") == str(wide)
