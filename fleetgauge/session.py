@@ -58,7 +58,7 @@ def widen_shuffles(df: DataFrame, target: int = 256 * 2**20) -> int:
     Never lowers the setting, and stops at ``MOST_PARTITIONS``.
     """
     spark = df.sparkSession
-    unknown = int(spark.conf.get("spark.sql.defaultSizeInBytes"))
+    unknown = spark._jsparkSession.sessionState().conf().defaultSizeInBytes()
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
     estimate = sum(size for size in sizes if size < unknown)
