@@ -185,7 +185,8 @@ class Flow:
             query.stop()
         if self._counts is not None:
             for name, query in self.queries.items():
-                self._counts.totals(query, self.nodes[name].expectations)
+                if self.nodes[name].expectations:
+                    self._counts.totals(query, self.nodes[name].expectations)
             self.spark.streams.removeListener(self._counts)
 
     def quality(self, name: str) -> dict[str, dict[str, int]]:

@@ -15,12 +15,17 @@ class RuleCounts(StreamingQueryListener):
     """Adds up observed counts of every micro-batch, however many there are.
 
     A query itself remembers only its latest progress reports. Register with
-    ``spark.streams.addListener`` before the query starts.
+    ``spark.streams.addListener`` before the query starts: events of earlier
+    queries may never come.
     """
 
     def __init__(self) -> None:
         self._counts: dict[str, Counter] = defaultdict(Counter)
-        self._ended: dict[str, threading.Event] = defaultdict(threading.Event)
+        self._ended: dict[str, threading.Event] = {}
+
+    def _end(self, run: str) -> threading.Event:
+        """One event per run, whichever thread asks first."""
+        return self._ended.setdefault(run, threading.Event())
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -31,14 +36,14 @@ class RuleCounts(StreamingQueryListener):
             self._counts[str(progress.runId)].update(row.asDict())
 
     def onQueryTerminated(self, event) -> None:
-        self._ended[str(event.runId)].set()
+        self._end(str(event.runId)).set()
 
     def totals(
         self, query: StreamingQuery, rules: Iterable[Expectation], timeout: float = 60
     ) -> dict[str, dict[str, int]]:
         """Counts per rule of one run; of an ended run, once all have come in."""
         run = str(query.runId)
-        if not query.isActive and not self._ended[run].wait(timeout):
+        if not query.isActive and not self._end(run).wait(timeout):
             raise TimeoutError(f"no end of run {run} reported in {timeout} s")
         counts = self._counts[run]
         return {
