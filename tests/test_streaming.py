@@ -338,9 +338,8 @@ def test_replay_is_in_order_and_whole(spark, readings, tmp_path):
 
 def test_replay_splits_one_crowded_instant(spark, tmp_path):
     """A third of all rows at one time do not end up in one file."""
-    df = spark.range(9000).selectExpr(
-        "id", "IF(id % 3 = 0, TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-01' + MAKE_DT_INTERVAL(0, 0, 0, id)) AS at"
-    )
+    seconds = "MAKE_DT_INTERVAL(0, 0, 0, IF(id % 3 = 0, 0, id))"
+    df = spark.range(9000).selectExpr("id", f"TIMESTAMP '2024-01-01' + {seconds} AS at")
     files = replay_files(df, str(tmp_path / "out"), "at", 12, "parquet")
     sizes = [spark.read.parquet(f).count() for f in files]
     assert sum(sizes) == 9000 and max(sizes) < 1500

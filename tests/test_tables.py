@@ -137,7 +137,8 @@ def test_reference_csv(spark, tmp_path):
 
 
 def test_schema_from_a_sample(spark, tmp_path):
-    (tmp_path / "one.json").write_text('{"device": 5, "datetime": "2024-01-01T00:00:00.5Z", "sensor1": 1.5}\n')
+    line = '{"device": 5, "datetime": "2024-01-01T00:00:00.5Z", "sensor1": 1.5}'
+    (tmp_path / "one.json").write_text(line)
     schema = infer_schema(spark, str(tmp_path / "one.json"))
     assert {f.name: f.dataType.simpleString() for f in schema} == {
         "datetime": "timestamp", "device": "bigint", "sensor1": "double",
