@@ -2,22 +2,99 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fleetgauge.llm import quality_rules as rules
+import corpus_pipeline
+from fleetgauge.llm import (
+    language_id,
+    mixing,
+    ngram_join,
+    quality_rules,
+    sentencepiece_codec,
+    topk_search,
+    url_reputation,
+)
+from fleetgauge.llm.ship import ship
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.held_out_identification(_table(spark, sf_dir, "documents"))
+
+
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+OP2_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_sum(list_transform(range(1, len(q.w) + 1), i -> q.w[i] * c.w[i])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.w) = len(c.w)
+), r AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(_table(spark, sf_dir, "documents"))
+
+
+def op6_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    outcomes = url_reputation.labelled_outcomes(pages, _table(spark, sf_dir, "labels"))
+    return url_reputation.judge_urls(pages, outcomes)
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.schedule(docs).drop("text")
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path(corpus_pipeline.PIECES)
+    coded = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, path), path)
+    exact = F.col("decoded").eqNullSafe(F.translate("text", sentencepiece_codec.BLANK, " "))
+    return coded.select("doc_id", "ids", F.size("ids").alias("n_ids"), exact.alias("exact"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return quality_rules.quality_rules(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    )
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict:
-    return {"op10_quality_rules": op10_quality_rules}
+    named = (
+        op1_language_id,
+        op2_topk_search,
+        op3_ngram_join,
+        op6_url_reputation,
+        op7_mixing,
+        op8_sentencepiece,
+        op10_quality_rules,
+        pipeline,
+    )
+    return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_topk_search": OP2_SQL}

@@ -32,7 +32,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64))
 _STEP = 4096
 _POWERS = np.cumprod(np.r_[_WORD(1), np.full(_STEP - 1, 0x9E3779B97F4A7C15, np.uint64)])
-_STRIDE = _POWERS[-1] * _WORD(0x9E3779B97F4A7C15)
+_STRIDE = _POWERS[-1:] * _WORD(0x9E3779B97F4A7C15)
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator:
@@ -82,7 +82,7 @@ def _hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     letters = LOWER[data[within + np.repeat(starts, lengths)]]
     terms = _BYTES[letters] * _POWERS[within & (_STEP - 1)]
     if len(lengths) and lengths.max() > _STEP:
-        strides = np.cumprod(np.r_[_WORD(1), np.full(lengths.max() // _STEP, _STRIDE)])
+        strides = np.cumprod(np.r_[_WORD(1), np.repeat(_STRIDE, lengths.max() // _STEP)])
         terms *= strides[within >> 12]
     return mix(np.add.reduceat(terms, first) + lengths.astype(np.uint64)) if len(first) else terms
 
