@@ -300,12 +300,12 @@ def quality_rules(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The documents that the base rule and the learned list let through."""
-    measured = stored(
-        text_statistics(docs.select("doc_id", "text")).drop("text"), "rule-statistics"
-    )
-    rules = rules_from(measured, labels, **options)
-    columns = docs.columns
-    lone = docs.select(F.struct(*columns).alias("_row"), "text")
-    judged = judge(text_statistics(lone), rules)
-    return judged.where("kept").select("_row.*")
+    """The documents that the base rule and the learned list let through.
+
+    Rows are stored with their statistics before any is filtered: a filter
+    would otherwise be moved below the statistics and repeat them.
+    """
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text")
+    measured = stored(text_statistics(rows).drop("text"), "rule-statistics")
+    rules = rules_from(measured.drop("_row"), labels, **options)
+    return judge(measured, rules).where("kept").select("_row.*")

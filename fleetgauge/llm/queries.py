@@ -34,13 +34,13 @@ def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP2_SQL = """
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
     FROM embeddings
     WHERE embedding IS NOT NULL AND len(embedding) > 0
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
     SELECT q.vec_id AS query_id, c.vec_id,
-           CAST(list_sum(list_transform(range(1, len(q.w) + 1), i -> q.w[i] * c.w[i])) AS BIGINT) AS score
+           CAST(list_sum(list_transform(range(1, len(q.w) + 1), lambda i: q.w[i] * c.w[i])) AS BIGINT) AS score
     FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.w) = len(c.w)
 ), r AS (
     SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s

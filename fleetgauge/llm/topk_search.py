@@ -225,13 +225,13 @@ def top_k(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
     spread = F.xxhash64("vec_id", "whole", F.monotonically_increasing_id())
     rows = whole.withColumn("_h", spread).select(
         "*",
-        F.pmod("_h", F.lit(row_blocks)).alias("row_block"),
-        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).cast("long").alias("query_block"),
+        F.pmod("_h", F.lit(row_blocks).cast("long")).alias("row_block"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long"))).alias("query_block"),
     )
     asked = whole.where(is_query).withColumn("_h", spread).select(
         "*",
-        F.pmod("_h", F.lit(query_blocks)).alias("query_block"),
-        F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))).cast("long").alias("row_block"),
+        F.pmod("_h", F.lit(query_blocks).cast("long")).alias("query_block"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(row_blocks - 1).cast("long"))).alias("row_block"),
     )
     place = ["width", "query_block", "row_block"]
     found = (
