@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from fleetgauge.llm import (
+    html_template,
+    kneser_ney,
     language_id,
     mixing,
     ngram_join,
+    ppm,
     quality_rules,
     sentencepiece_codec,
     topk_search,
@@ -53,6 +56,14 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(_table(spark, sf_dir, "documents"))
 
 
+def op4_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_template.extract(_table(spark, sf_dir, "pages"))
+
+
+def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     outcomes = url_reputation.labelled_outcomes(pages, _table(spark, sf_dir, "labels"))
@@ -72,6 +83,10 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "ids", F.size("ids").alias("n_ids"), exact.alias("exact"))
 
 
+def op9_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -87,9 +102,12 @@ def queries() -> dict:
         op1_language_id,
         op2_topk_search,
         op3_ngram_join,
+        op4_html_template,
+        op5_kneser_ney,
         op6_url_reputation,
         op7_mixing,
         op8_sentencepiece,
+        op9_ppm,
         op10_quality_rules,
         pipeline,
     )
