@@ -28,4 +28,4 @@ def alerts(
             "Threshold",
         )
     )
-    return found.orderBy("deviceName") if ordered else found
+    return found.orderBy("deviceName", "start") if ordered else found

@@ -21,6 +21,5 @@ def device_statistics(gold: DataFrame, measure: str = "sensor5_avg") -> DataFram
 def derive_thresholds(
     gold: DataFrame, factor: float = FACTOR, measure: str = "sensor5_avg"
 ) -> DataFrame:
-    """Threshold = the maximum less the share ``1 - factor`` of it."""
-    top = F.max(measure)
-    return gold.groupBy("deviceName").agg((top - (top - top * factor)).alias("Threshold"))
+    """Threshold = the share ``factor`` of the maximum."""
+    return gold.groupBy("deviceName").agg((F.max(measure) * factor).alias("Threshold"))

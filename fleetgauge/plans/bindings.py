@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 import math
 from dataclasses import dataclass
 
@@ -10,14 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetgauge import storage
-from fleetgauge.operators.dimensions import date_dimension, date_dimension_for, device_dimension
+from fleetgauge.operators.dimensions import date_dimension_for, device_dimension
 from fleetgauge.schemas import SENSORS, ReadingSpec
 from fleetgauge.session import MOST_PARTITIONS, fresh_path, widen_shuffles
 from fleetgauge.streaming.replay import replay_files
 
 EVENT_SENSORS = SENSORS[:2]
 NUDGE = 1e-9
-EVENT_YEAR = (dt.date(2024, 1, 1), dt.date(2024, 12, 31))
 
 EVENTS = ReadingSpec(
     device="user_id",
@@ -70,8 +68,9 @@ def item_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return device_dimension(named, "s_suppkey", "s_name", "n_name")
 
 
-def event_dates(spark: SparkSession) -> DataFrame:
-    return date_dimension(spark, *EVENT_YEAR)
+def event_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every day from the first event to the last."""
+    return date_dimension_for(table(spark, sf_dir, "events"), "ts")
 
 
 def item_dates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,7 +42,6 @@ SILVER = f"""{READINGS},{DEVICES},
            CAST(hour(datetime) AS INTEGER) AS hourOfDay, datetime, device, deviceName, location,
            sensor1, sensor2, sensor2 - sensor1 AS sensor2Variance
     FROM readings JOIN devices USING (device)
-    WHERE year(datetime) = 2024
   )"""
 
 GOLD = f"""{SILVER},
@@ -55,7 +54,7 @@ GOLD = f"""{SILVER},
 
 LIMITS = f"""{GOLD},
   limits AS (
-    SELECT deviceName, max(sensor1_avg) - (max(sensor1_avg) - max(sensor1_avg) * 0.97) AS Threshold
+    SELECT deviceName, max(sensor1_avg) * 0.97 AS Threshold
     FROM gold GROUP BY deviceName
   )"""
 
@@ -164,7 +163,7 @@ ORACLES: dict[str, str] = {
     "alerts_stream": _ALERTS
     + " AND window_end <= (SELECT max(ts) FROM events) - INTERVAL '1 minute'",
     "alerts_wide": f"""WITH {WIDE_GOLD}, limits AS (
-  SELECT deviceName, max(sensor5_avg) - (max(sensor5_avg) - max(sensor5_avg) * 0.97) AS Threshold
+  SELECT deviceName, max(sensor5_avg) * 0.97 AS Threshold
   FROM gold GROUP BY deviceName)
 SELECT {WIDE_COLUMNS}, {LIMIT}
 FROM gold JOIN limits USING (deviceName) WHERE sensor5_avg > Threshold""",

@@ -84,7 +84,7 @@ def _event_layers(spark: SparkSession, sf_dir: str) -> BatchLayers:
     return batch_layers(
         b.event_readings(spark, sf_dir),
         b.event_devices(spark, sf_dir),
-        b.event_dates(spark),
+        b.event_dates(spark, sf_dir),
         sensors=b.EVENT_SENSORS,
         measure=MEASURE,
     )
@@ -94,7 +94,7 @@ def _event_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich(
         b.event_readings(spark, sf_dir),
         b.event_devices(spark, sf_dir),
-        b.event_dates(spark),
+        b.event_dates(spark, sf_dir),
         sensors=b.EVENT_SENSORS,
     )
 
@@ -228,7 +228,7 @@ def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = enrich(
         stream_table(spark, bronze),
         b.event_devices(spark, sf_dir),
-        b.event_dates(spark),
+        b.event_dates(spark, sf_dir),
         sensors=b.EVENT_SENSORS,
     )
     drain(
@@ -252,7 +252,7 @@ def silver_refreshed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         start_refreshed_silver(
             stream_files(spark, source.path, source.schema, "parquet", source.max_files),
             lambda: b.event_devices(spark, sf_dir),
-            lambda: b.event_dates(spark),
+            lambda: b.event_dates(spark, sf_dir),
             settings.data_path("silver"),
             settings.checkpoint_path("silver"),
             sensors=b.EVENT_SENSORS,
@@ -369,7 +369,7 @@ def alerts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         settings,
         ingest_files(spark, source.path, source.schema, max_files=source.max_files),
         b.event_devices(spark, sf_dir),
-        b.event_dates(spark),
+        b.event_dates(spark, sf_dir),
         limits,
         sensors=b.EVENT_SENSORS,
         measure=MEASURE,
@@ -527,7 +527,7 @@ def _silver_flow(spark: SparkSession, sf_dir: str) -> Flow:
     )
     flow.table("bronze", lambda s, i: i["raw"], reads=("raw",), comment="Readings as received")
     flow.view("device_info", lambda s, _: b.event_devices(s, sf_dir))
-    flow.view("dim_date", lambda s, _: b.event_dates(s))
+    flow.view("dim_date", lambda s, _: b.event_dates(s, sf_dir))
     flow.sql_table(
         "silver",
         SILVER_SQL,
@@ -564,7 +564,7 @@ def _saved(spark: SparkSession, sf_dir: str, *roles: str) -> SavedQueries:
     catalog.init_catalog(spark, settings.database, settings.base_path)
     builders = {
         "device_info": lambda: require_unique(b.event_devices(spark, sf_dir), "device"),
-        "dim_date": lambda: b.event_dates(spark),
+        "dim_date": lambda: b.event_dates(spark, sf_dir),
         "bronze": lambda: b.event_readings(spark, sf_dir),
         "silver": lambda: _event_silver(spark, sf_dir),
         "gold": lambda: _event_gold(spark, sf_dir),

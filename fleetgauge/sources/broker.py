@@ -66,9 +66,9 @@ def starting_offsets(
 def source_options(
     connection: BrokerConnection,
     start: str | dict[int, int] = "earliest",
-    max_per_trigger: int | None = 50_000,
+    max_per_trigger: int | None = None,
     group: str | None = None,
-    fail_on_data_loss: bool = False,
+    fail_on_data_loss: bool = True,
 ) -> dict[str, str]:
     options = connection.client_options() | {
         "subscribe": connection.topic,

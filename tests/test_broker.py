@@ -17,11 +17,11 @@ SECURE = BrokerConnection("host:9093", "iot", "user", "secret")
 
 
 def test_source_options():
-    options = source_options(SECURE, group="readers")
+    options = source_options(SECURE, group="readers", max_per_trigger=50_000)
     assert options["subscribe"] == "iot"
     assert options["startingOffsets"] == "earliest"
     assert options["maxOffsetsPerTrigger"] == "50000"
-    assert options["failOnDataLoss"] == "false"
+    assert options["failOnDataLoss"] == "true"
     assert options["kafka.group.id"] == "readers"
     assert options["kafka.security.protocol"] == "SASL_SSL"
     assert 'password="secret"' in options["kafka.sasl.jaas.config"]
