@@ -42,7 +42,8 @@ from fleetgauge.session import stored
 WORDS = 5
 GROUP = 64
 KEYS = 8
-BUCKET_TOKENS = 4_000_000
+BUCKET_TOKENS = 2_000_000
+DEAL_BYTES = 12 << 20
 SAMPLE_SETS = 4096
 COMMON_TOKENS = 1 << 20
 
@@ -103,7 +104,8 @@ def _deal(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Record
         [("bucket", pa.int32())]
         + [(n, pa.binary()) for n in ("doc_ids", "known", "sizes", "sigs", "tokens", "owners")]
     )
-    for number, batch in enumerate(batches):
+    dealt = (part for batch in batches for part in slices(batch, "text", DEAL_BYTES))
+    for number, batch in enumerate(dealt):
         ids, sizes, sigs, tokens, first = [], [], [], [], {}
         for part in slices(batch, "text"):
             ids.append(part.column("doc_id"))
