@@ -22,6 +22,7 @@ lacks becomes its bytes. Columns named like the result are replaced.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import partial
 
@@ -32,13 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetgauge.llm.text import slices
 from fleetgauge.session import stored
 
 BLANK = "▁"
 GIANT = 1 << 20
 CHUNK = 1 << 16
-WORDS_KEPT = 400_000
-PAIRS_KEPT = 1_000_000
+WORDS_KEPT = 200_000
+PAIRS_KEPT = 400_000
 
 State = tuple[int, int]  # characters beyond the boundary, id of the last piece
 
@@ -48,12 +50,14 @@ class Lattice:
 
     def __init__(self, pieces: dict[str, tuple[int, float]], byte_ids: list[int], merges: bool, unknown: int = 0):
         self.pieces, self.byte_ids, self.merges, self.unknown = pieces, byte_ids, merges, unknown
+        self.scores = {p: s for p, (_, s) in pieces.items()}
         self.names = {i: p for p, (i, _) in pieces.items()}
+        self.byte_set = frozenset(byte_ids)
         self.longest = max(map(len, pieces), default=1)
         self.worst = min((s for _, s in pieces.values()), default=0.0) - 10.0
         self.by_char: dict[int, str] = {}
         self.apart: dict[tuple[str, str], bool] = {}
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, array] = {}
         self.begins = {p[:k] for p in pieces for k in range(1, len(p) + 1)}
         self.inner_blank = any(BLANK in p.lstrip(BLANK) for p in pieces)
 
@@ -92,6 +96,24 @@ class Lattice:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def stays_apart(self, last: str, piece: str) -> bool:
+        """Whether the merges over both texts give the two; ends at the first merge across."""
+        scores, parts, edge = self.scores, list(last + piece), len(last)
+        while len(parts) > 1:
+            best, at = None, 0
+            for i in range(len(parts) - 1):
+                score = scores.get(parts[i] + parts[i + 1])
+                if score is not None and (best is None or score > best):
+                    best, at = score, i
+            if best is None:
+                break
+            if at == edge - 1:
+                return False
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            if at < edge:
+                edge -= 1
+        return parts == [x for x in (last, piece) if x]
+
     def step(self, last: str, piece: str) -> float | None:
         """Weight of a piece after another; None if it can't follow."""
         if not self.merges:
@@ -100,7 +122,7 @@ class Lattice:
         if pair not in self.apart:
             if len(self.apart) >= PAIRS_KEPT:
                 self.apart.clear()
-            self.apart[pair] = self.merge(last + piece) == [x for x in pair if x]
+            self.apart[pair] = self.stays_apart(last, piece)
         return 0.0 if self.apart[pair] else None
 
     def edges(self, text: str, at: int) -> Iterator[str]:
@@ -149,7 +171,7 @@ class Lattice:
             _, at, last = table[at][last]
         return out[::-1]
 
-    def word(self, text: str) -> list[int]:
+    def word(self, text: str) -> array:
         """Ids of a whole word; words seen before are looked up."""
         found = self.words.get(text)
         if found is None:
@@ -161,6 +183,7 @@ class Lattice:
                 table, ends = self.run(text, len(text), 0, "")
                 _, last = max(ends, key=lambda s: (ends[s], s))
                 found = [i for p in self.trace(table, len(text), last, 0) for i in self.ids(p)]
+            found = array("i", found)
             if len(self.words) >= WORDS_KEPT:
                 self.words.clear()
             if len(text) <= 64:
@@ -289,10 +312,10 @@ def lattice(path: str) -> Lattice:
     return _loaded[path]
 
 
-def encode_text(model: Lattice, text: str) -> list[int]:
+def encode_text(model: Lattice, text: str) -> array:
     if model.inner_blank:
-        return model.word(prepared(text)) if text else []
-    out: list[int] = []
+        return model.word(prepared(text)) if text else array("i")
+    out = array("i")
     word, words = model.word, model.words
     for w in words_of(prepared(text)):
         found = words.get(w)
@@ -303,9 +326,9 @@ def encode_text(model: Lattice, text: str) -> list[int]:
 ENCODED = T.StructField("ids", T.ArrayType(T.IntegerType()))
 
 
-def _ids_array(rows: list[list[int] | None]) -> pa.Array:
+def _ids_array(rows: list[array | None]) -> pa.Array:
     sizes = np.array([len(r) if r is not None else 0 for r in rows], np.int64)
-    flat = np.fromiter((i for r in rows if r is not None for i in r), np.int32, sizes.sum())
+    flat = np.concatenate([np.zeros(0, np.int32), *[np.frombuffer(r, np.int32) for r in rows if r]])
     offsets = np.r_[0, np.cumsum(sizes)].astype(np.int32)
     mask = pa.array([r is None for r in rows]) if any(r is None for r in rows) else None
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), mask=mask)
@@ -314,15 +337,16 @@ def _ids_array(rows: list[list[int] | None]) -> pa.Array:
 def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     model = lattice(path)
     for batch in batches:
-        ids = [None if t is None else encode_text(model, t) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("row"), _ids_array(ids)], names=["row", "ids"])
+        for part in slices(batch, "text"):
+            ids = [None if t is None else encode_text(model, t) for t in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("row"), _ids_array(ids)], names=["row", "ids"])
 
 
 def _encode_parts(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     model = lattice(path)
     for batch in batches:
         ids = [
-            [i for w in words_of(t) for i in model.word(w)]
+            array("i", [i for w in words_of(t) for i in model.word(w)])
             for t in batch.column("part").to_pylist()
         ]
         yield pa.RecordBatch.from_arrays(
@@ -376,6 +400,8 @@ def encode(docs: DataFrame, model_path: str, giant: int = GIANT) -> DataFrame:
 
 def decode_ids(model: Lattice, ids: list[int]) -> str:
     """Text of a sequence of ids; bytes that form no character become U+FFFD."""
+    if model.byte_set.isdisjoint(ids):
+        return "".join([model.names.get(i, "") for i in ids]).replace(BLANK, " ")[1:]
     byte_of = {i: b for b, i in enumerate(model.byte_ids)}
     out, run = [], bytearray()
     for i in ids:
@@ -392,7 +418,7 @@ def decode_ids(model: Lattice, ids: list[int]) -> str:
 def _decode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     model = lattice(path)
     for batch in batches:
-        texts = [None if x is None else decode_ids(model, x) for x in batch.column("ids").to_pylist()]
+        texts = [None if not x.is_valid else decode_ids(model, x.values.to_numpy().tolist()) for x in batch.column("ids")]
         yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "decoded"])
 
 
