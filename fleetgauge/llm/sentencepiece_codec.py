@@ -22,6 +22,7 @@ lacks becomes its bytes. Columns named like the result are replaced.
 
 from __future__ import annotations
 
+import math
 from array import array
 from collections.abc import Iterator
 from functools import partial
@@ -39,8 +40,8 @@ from fleetgauge.session import stored
 BLANK = "▁"
 GIANT = 1 << 20
 CHUNK = 1 << 16
-WORDS_KEPT = 200_000
-PAIRS_KEPT = 400_000
+WORDS_KEPT = 150_000
+PAIRS_KEPT = 150_000
 
 State = tuple[int, int]  # characters beyond the boundary, id of the last piece
 
@@ -52,13 +53,21 @@ class Lattice:
         self.pieces, self.byte_ids, self.merges, self.unknown = pieces, byte_ids, merges, unknown
         self.scores = {p: s for p, (_, s) in pieces.items()}
         self.names = {i: p for p, (i, _) in pieces.items()}
-        self.byte_set = frozenset(byte_ids)
+        most = max([*self.names, *byte_ids], default=-1) + 1
+        self.name_of = [self.names.get(i, "") for i in range(most)]
+        self.is_byte = np.zeros(most, bool)
+        self.is_byte[byte_ids] = True
         self.longest = max(map(len, pieces), default=1)
         self.worst = min((s for _, s in pieces.values()), default=0.0) - 10.0
         self.by_char: dict[int, str] = {}
+        # Two generations each: a full one replaces the older, so what is in use stays.
         self.apart: dict[tuple[str, str], bool] = {}
+        self.older_apart: dict[tuple[str, str], bool] = {}
         self.words: dict[str, array] = {}
-        self.begins = {p[:k] for p in pieces for k in range(1, len(p) + 1)}
+        self.older_words: dict[str, array] = {}
+        self.histories: dict[str, tuple | None] = {}
+        # Every beginning of a piece, and whether it is one itself.
+        self.begins = {p[:k]: p[:k] in pieces for p in pieces for k in range(1, len(p) + 1)}
         self.inner_blank = any(BLANK in p.lstrip(BLANK) for p in pieces)
 
     @classmethod
@@ -96,34 +105,76 @@ class Lattice:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def history(self, piece: str) -> tuple | None:
+        """The merges of a piece alone: scores, and its first and last part before each and at the end.
+
+        None if they don't end with the piece. The scores end with minus infinity.
+        """
+        if piece not in self.histories:
+            scores, parts = self.scores, list(piece)
+            steps, firsts, lasts = [], [parts[0]], [parts[-1]]
+            while len(parts) > 1:
+                best, at = None, 0
+                for i in range(len(parts) - 1):
+                    score = scores.get(parts[i] + parts[i + 1])
+                    if score is not None and (best is None or score > best):
+                        best, at = score, i
+                if best is None:
+                    break
+                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+                steps.append(best)
+                firsts.append(parts[0])
+                lasts.append(parts[-1])
+            whole = (steps + [-math.inf], firsts, lasts) if len(parts) == 1 else None
+            if piece not in self.pieces:  # of lone characters there is no end
+                return whole
+            self.histories[piece] = whole
+        return self.histories[piece]
+
     def stays_apart(self, last: str, piece: str) -> bool:
-        """Whether the merges over both texts give the two; ends at the first merge across."""
-        scores, parts, edge = self.scores, list(last + piece), len(last)
-        while len(parts) > 1:
-            best, at = None, 0
-            for i in range(len(parts) - 1):
-                score = scores.get(parts[i] + parts[i + 1])
-                if score is not None and (best is None or score > best):
-                    best, at = score, i
-            if best is None:
-                break
-            if at == edge - 1:
+        """Whether the merges over both texts give the two.
+
+        Each side merges as it does alone, best score first and leftmost among
+        equals, unless a merge across comes before the next of either.
+        """
+        right = self.history(piece)
+        if right is None or not last:
+            return right is not None
+        left = self.history(last)
+        if left is None:
+            return False
+        (ahead, _, lasts), (behind, firsts, _) = left, right
+        get, i, j = self.scores.get, 0, 0
+        while True:
+            a, b = ahead[i], behind[j]
+            across = get(lasts[i] + firsts[j])
+            if across is not None and across > a and across >= b:
                 return False
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-            if at < edge:
-                edge -= 1
-        return parts == [x for x in (last, piece) if x]
+            if a == b == -math.inf:
+                return True
+            if a >= b:
+                i += 1
+            else:
+                j += 1
 
     def step(self, last: str, piece: str) -> float | None:
         """Weight of a piece after another; None if it can't follow."""
         if not self.merges:
             return self.pieces[piece][1] if piece in self.pieces else self.worst
+        return 0.0 if self.fits(last, piece) else None
+
+    def fits(self, last: str, piece: str) -> bool:
+        """Whether two pieces stay apart; pairs seen before are looked up."""
         pair = (last, piece)
-        if pair not in self.apart:
+        found = self.apart.get(pair)
+        if found is None:
+            found = self.older_apart.get(pair)
+            if found is None:
+                found = self.stays_apart(last, piece)
             if len(self.apart) >= PAIRS_KEPT:
-                self.apart.clear()
-            self.apart[pair] = self.stays_apart(last, piece)
-        return 0.0 if self.apart[pair] else None
+                self.older_apart, self.apart = self.apart, {}
+            self.apart[pair] = found
+        return found
 
     def edges(self, text: str, at: int) -> Iterator[str]:
         """Pieces that may begin at a place; a lone character always may."""
@@ -175,45 +226,62 @@ class Lattice:
         """Ids of a whole word; words seen before are looked up."""
         found = self.words.get(text)
         if found is None:
-            if len(text) > CHUNK:
-                found = self.long_word(text)
-            elif self.merges:
-                found = [i for p in self.only_path(text) for i in self.ids(p)]
-            else:
-                table, ends = self.run(text, len(text), 0, "")
-                _, last = max(ends, key=lambda s: (ends[s], s))
-                found = [i for p in self.trace(table, len(text), last, 0) for i in self.ids(p)]
-            found = array("i", found)
-            if len(self.words) >= WORDS_KEPT:
-                self.words.clear()
+            found = self.older_words.get(text)
+            if found is None:
+                found = array("i", self.solved(text))
             if len(text) <= 64:
+                if len(self.words) >= WORDS_KEPT:
+                    self.older_words, self.words = self.words, {}
                 self.words[text] = found
         return found
 
+    def solved(self, text: str) -> list[int]:
+        if len(text) > CHUNK:
+            return self.long_word(text)
+        if self.merges:
+            return [i for p in self.only_path(text) for i in self.ids(p)]
+        table, ends = self.run(text, len(text), 0, "")
+        _, last = max(ends, key=lambda s: (ends[s], s))
+        return [i for p in self.trace(table, len(text), last, 0) for i in self.ids(p)]
+
     def only_path(self, text: str) -> list[str]:
-        """Path of a merge model from a word's start: one last piece at most fits each place."""
-        size, pieces, begins, apart = len(text), self.pieces, self.begins, self.apart
-        last: list[str | None] = [None] * (size + 1)
-        last[0] = ""
-        for at in range(size):
-            before = last[at]
-            if before is None:
-                continue
-            for stop in range(at + 1, size + 1):
+        """The path of finite weight through a word of a merge model, longest pieces first.
+
+        A path from the start that stays apart is the merges' result for the text so
+        far, so at most one reaches each place: one that leads nowhere is not tried twice.
+        """
+        size, begins, fits = len(text), self.begins, self.fits
+        seen, older = self.apart.get, self.older_apart.get
+        path, options, dead, at, last = [], [], set(), 0, ""
+        while at < size:
+            found = [text[at]]
+            for stop in range(at + 2, size + 1):
                 piece = text[at:stop]
-                if piece in pieces or stop == at + 1:
-                    fits = apart.get((before, piece))
-                    if fits is None:
-                        fits = self.step(before, piece) is not None
-                    if fits:
-                        last[stop] = piece
-                if piece not in begins:
+                whole = begins.get(piece)
+                if whole:
+                    found.append(piece)
+                elif whole is None:
                     break
-        out, at = [], size
-        while at:
-            out.append(last[at])
-            at -= len(last[at])
-        return out[::-1]
+            while True:
+                while not found:
+                    dead.add(at)
+                    found = options.pop()
+                    at -= len(path.pop())
+                    last = path[-1] if path else ""
+                piece = found.pop()
+                if at + len(piece) in dead:
+                    continue
+                pair = (last, piece)
+                apart = seen(pair)
+                if apart is None:
+                    apart = older(pair)
+                if fits(last, piece) if apart is None else apart:
+                    break
+            options.append(found)
+            path.append(piece)
+            at += len(piece)
+            last = piece
+        return path
 
     def transfer(self, text: str, end: int, states) -> dict:
         """Matrix of a chunk: for each state at its left the states at its right.
@@ -400,8 +468,8 @@ def encode(docs: DataFrame, model_path: str, giant: int = GIANT) -> DataFrame:
 
 def decode_ids(model: Lattice, ids: list[int]) -> str:
     """Text of a sequence of ids; bytes that form no character become U+FFFD."""
-    if model.byte_set.isdisjoint(ids):
-        return "".join([model.names.get(i, "") for i in ids]).replace(BLANK, " ")[1:]
+    if not len(ids) or not model.is_byte[ids].any():
+        return "".join(map(model.name_of.__getitem__, ids)).replace(BLANK, " ")[1:]
     byte_of = {i: b for b, i in enumerate(model.byte_ids)}
     out, run = [], bytearray()
     for i in ids:
