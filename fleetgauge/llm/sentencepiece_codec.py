@@ -55,19 +55,22 @@ class Lattice:
         self.names = {i: p for p, (i, _) in pieces.items()}
         most = max([*self.names, *byte_ids], default=-1) + 1
         self.name_of = [self.names.get(i, "") for i in range(most)]
+        # A code is a piece's id, or ``most`` and the number of a character that is no piece.
+        self.most, self.base = most, most + 0x110000
+        self.length_of = list(map(len, self.name_of))
         self.is_byte = np.zeros(most, bool)
         self.is_byte[byte_ids] = True
         self.longest = max(map(len, pieces), default=1)
         self.worst = min((s for _, s in pieces.values()), default=0.0) - 10.0
-        self.by_char: dict[int, str] = {}
         # Two generations each: a full one replaces the older, so what is in use stays.
-        self.apart: dict[tuple[str, str], bool] = {}
-        self.older_apart: dict[tuple[str, str], bool] = {}
+        self.apart: dict[int, bool] = {}
+        self.older_apart: dict[int, bool] = {}
         self.words: dict[str, array] = {}
         self.older_words: dict[str, array] = {}
         self.histories: dict[str, tuple | None] = {}
-        # Every beginning of a piece, and whether it is one itself.
-        self.begins = {p[:k]: p[:k] in pieces for p in pieces for k in range(1, len(p) + 1)}
+        # Every beginning of a piece, and its id if it is one itself, else -1.
+        self.begins = {p[:k]: -1 for p in pieces for k in range(1, len(p))}
+        self.begins.update((p, i) for p, (i, _) in pieces.items())
         self.inner_blank = any(BLANK in p.lstrip(BLANK) for p in pieces)
 
     @classmethod
@@ -161,16 +164,26 @@ class Lattice:
         """Weight of a piece after another; None if it can't follow."""
         if not self.merges:
             return self.pieces[piece][1] if piece in self.pieces else self.worst
-        return 0.0 if self.fits(last, piece) else None
+        before = self.code(last) + 1 if last else 0
+        return 0.0 if self.fits(before, self.code(piece)) else None
 
-    def fits(self, last: str, piece: str) -> bool:
-        """Whether two pieces stay apart; pairs seen before are looked up."""
-        pair = (last, piece)
+    def code(self, piece: str) -> int:
+        return self.pieces[piece][0] if piece in self.pieces else self.most + ord(piece)
+
+    def name(self, code: int) -> str:
+        return self.name_of[code] if code < self.most else chr(code - self.most)
+
+    def fits(self, before: int, code: int) -> bool:
+        """Whether two pieces stay apart; pairs seen before are looked up.
+
+        ``before`` is the first piece's code and 1, or 0 at the start.
+        """
+        pair = before * self.base + code
         found = self.apart.get(pair)
         if found is None:
             found = self.older_apart.get(pair)
             if found is None:
-                found = self.stays_apart(last, piece)
+                found = self.stays_apart(self.name(before - 1) if before else "", self.name(code))
             if len(self.apart) >= PAIRS_KEPT:
                 self.older_apart, self.apart = self.apart, {}
             self.apart[pair] = found
@@ -239,48 +252,51 @@ class Lattice:
         if len(text) > CHUNK:
             return self.long_word(text)
         if self.merges:
-            return [i for p in self.only_path(text) for i in self.ids(p)]
+            path = self.only_path(text)
+            if max(path) < self.most:
+                return path
+            return [i for c in path for i in ([c] if c < self.most else self.ids(chr(c - self.most)))]
         table, ends = self.run(text, len(text), 0, "")
         _, last = max(ends, key=lambda s: (ends[s], s))
         return [i for p in self.trace(table, len(text), last, 0) for i in self.ids(p)]
 
-    def only_path(self, text: str) -> list[str]:
-        """The path of finite weight through a word of a merge model, longest pieces first.
+    def only_path(self, text: str) -> list[int]:
+        """Codes on the path of finite weight through a word of a merge model, longest pieces first.
 
         A path from the start that stays apart is the merges' result for the text so
         far, so at most one reaches each place: one that leads nowhere is not tried twice.
         """
-        size, begins, fits = len(text), self.begins, self.fits
-        seen, older = self.apart.get, self.older_apart.get
-        path, options, dead, at, last = [], [], set(), 0, ""
+        size, most, base, length = len(text), self.most, self.base, self.length_of
+        begins, seen, fits = self.begins.get, self.apart.get, self.fits
+        path, options, dead, at, before = [], [], set(), 0, 0
         while at < size:
-            found = [text[at]]
-            for stop in range(at + 2, size + 1):
-                piece = text[at:stop]
-                whole = begins.get(piece)
-                if whole:
-                    found.append(piece)
-                elif whole is None:
-                    break
+            code = begins(text[at])
+            if code is None:
+                found = [most + ord(text[at])]
+            else:
+                found = [code if code >= 0 else most + ord(text[at])]
+                for stop in range(at + 2, size + 1):
+                    code = begins(text[at:stop])
+                    if code is None:
+                        break
+                    if code >= 0:
+                        found.append(code)
             while True:
                 while not found:
                     dead.add(at)
-                    found = options.pop()
-                    at -= len(path.pop())
-                    last = path[-1] if path else ""
-                piece = found.pop()
-                if at + len(piece) in dead:
+                    found, last = options.pop(), path.pop()
+                    at -= length[last] if last < most else 1
+                    before = path[-1] + 1 if path else 0
+                code = found.pop()
+                to = at + (length[code] if code < most else 1)
+                if to in dead:
                     continue
-                pair = (last, piece)
-                apart = seen(pair)
-                if apart is None:
-                    apart = older(pair)
-                if fits(last, piece) if apart is None else apart:
+                apart = seen(before * base + code)
+                if fits(before, code) if apart is None else apart:
                     break
             options.append(found)
-            path.append(piece)
-            at += len(piece)
-            last = piece
+            path.append(code)
+            at, before = to, code + 1
         return path
 
     def transfer(self, text: str, end: int, states) -> dict:
@@ -405,7 +421,9 @@ def _ids_array(rows: list[array | None]) -> pa.Array:
 def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     model = lattice(path)
     for batch in batches:
-        for part in slices(batch, "text"):
+        row = batch.column("row")
+        texts = pa.RecordBatch.from_arrays([row, row.field("text")], names=["row", "text"])
+        for part in slices(texts, "text"):
             ids = [None if t is None else encode_text(model, t) for t in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column("row"), _ids_array(ids)], names=["row", "ids"])
 
@@ -451,7 +469,7 @@ def encode(docs: DataFrame, model_path: str, giant: int = GIANT) -> DataFrame:
     rows = docs.select(F.struct(*kept).alias("row"), "text")
     schema = T.StructType([T.StructField("row", rows.schema["row"].dataType), ENCODED])
     long = F.coalesce(F.length("text") > giant, F.lit(False))
-    short = rows.where(~long).mapInArrow(partial(_encode, path=model_path), schema)
+    short = rows.where(~long).select("row").mapInArrow(partial(_encode, path=model_path), schema)
     whole = rows.where(long)
     if whole.isEmpty():
         return short.select("row.*", "ids")
@@ -486,13 +504,14 @@ def decode_ids(model: Lattice, ids: list[int]) -> str:
 def _decode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     model = lattice(path)
     for batch in batches:
-        texts = [None if not x.is_valid else decode_ids(model, x.values.to_numpy().tolist()) for x in batch.column("ids")]
-        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "decoded"])
+        row = batch.column("row")
+        texts = [None if not x.is_valid else decode_ids(model, x.values.to_numpy().tolist()) for x in row.field("ids")]
+        yield pa.RecordBatch.from_arrays([row, pa.array(texts, pa.string())], names=["row", "decoded"])
 
 
 def decode(coded: DataFrame, model_path: str) -> DataFrame:
     """Add the text of each row's ids, as ``decoded``."""
     kept = [c for c in coded.columns if c != "decoded"]
-    rows = coded.select(F.struct(*kept).alias("row"), "ids")
+    rows = coded.select(F.struct(*kept).alias("row"))
     schema = T.StructType([T.StructField("row", rows.schema["row"].dataType), T.StructField("decoded", T.StringType())])
     return rows.mapInArrow(partial(_decode, path=model_path), schema).select("row.*", "decoded")
