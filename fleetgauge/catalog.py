@@ -6,6 +6,7 @@ import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from fleetgauge import storage
 from fleetgauge.session import MOST_PARTITIONS
@@ -30,11 +31,21 @@ def drop_table(spark: SparkSession, table: str) -> None:
 
 
 def external_table(
-    spark: SparkSession, table: str, path: str, fmt: str = "parquet", comment: str | None = None
+    spark: SparkSession,
+    table: str,
+    path: str,
+    fmt: str = "parquet",
+    comment: str | None = None,
+    schema: T.StructType | None = None,
+    partition_by: str | None = None,
 ) -> DataFrame:
-    """(Re)create a table over existing files."""
+    """(Re)create a table over existing files, of which the schema is inferred unless given."""
     drop_table(spark, table)
-    spark.sql(f"CREATE TABLE {table} USING {fmt} LOCATION '{path}'")
+    columns = ""
+    if schema is not None:
+        columns = "(" + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + ")"
+        columns += f" USING {fmt}" + (f" PARTITIONED BY (`{partition_by}`)" if partition_by else "")
+    spark.sql(f"CREATE TABLE {table} {columns or f'USING {fmt}'} LOCATION '{path}'")
     partitioned = any(c.isPartition for c in spark.catalog.listColumns(table))
     if partitioned:
         spark.sql(f"MSCK REPAIR TABLE {table}")
@@ -99,13 +110,16 @@ def compact_path(
     target: str,
     file_bytes: int = 2**30,
     partition_by: str | None = None,
+    schema: T.StructType | None = None,
 ) -> str:
     """Rewrite many small parquet files as few of about ``file_bytes`` each.
 
     Unpartitioned data needs no shuffle: the scan itself packs small files
     into tasks of the wanted size and each task writes one file. Partitioned
     data is rebalanced on the partition column, which lets adaptive execution
-    merge small partitions and split one that holds most of the rows.
+    merge small partitions and split one that holds most of the rows. Values of
+    partition columns are in the folders' names, as text: their types are inferred
+    unless ``schema`` gives them.
     """
     if partition_by:
         session = spark.newSession()
@@ -117,17 +131,22 @@ def compact_path(
         wanted = min(math.ceil(storage.total_bytes(spark, source) / file_bytes), MOST_PARTITIONS)
         current = int(spark.conf.get("spark.sql.shuffle.partitions"))
         session.conf.set("spark.sql.shuffle.partitions", str(max(wanted, current)))
-        df = session.read.parquet(source)
+        df = _parquet(session, source, schema)
         df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(target)
         return target
     session = spark.newSession()
     session.conf.set("spark.sql.files.maxPartitionBytes", str(file_bytes))
     session.conf.set("spark.sql.files.openCostInBytes", "0")
     session.conf.set("spark.sql.files.minPartitionNum", "1")
-    session.read.parquet(source).write.parquet(target)
+    _parquet(session, source, schema).write.parquet(target)
     return target
 
 
+def _parquet(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame:
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(path)
+
+
 def compact_table(
     spark: SparkSession,
     table: str,
@@ -138,11 +157,17 @@ def compact_table(
     """Compact a table's files into a new folder, then point the table there.
 
     Readers of the old files are not disturbed; the old folder stays until
-    its owner retires it.
+    its owner retires it. Schema and comment stay. A table that a stream appends
+    to is refused: the stream's log of its files lies in the old folder.
     """
     details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
     source = details.first()["data_type"]
     target = f"{base_path.rstrip('/')}/compact-{uuid.uuid4().hex}"
-    compact_path(spark, source, target, file_bytes, partition_by)
-    return external_table(spark, table, target)
+    if storage.exists(spark, f"{source}/_spark_metadata"):
+        raise ValueError(f"{table} is written by a stream, which could not go on after a compaction")
+    schema, comment = spark.table(table).schema, spark.catalog.getTable(table).description
+    compact_path(spark, source, target, file_bytes, partition_by, schema)
+    return external_table(
+        spark, table, target, comment=comment, schema=schema, partition_by=partition_by
+    )
 

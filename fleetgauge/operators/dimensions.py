@@ -53,7 +53,9 @@ def require_unique(df: DataFrame, key: str) -> DataFrame:
 
 
 def unmatched(readings: DataFrame, devices: DataFrame, dates: DataFrame) -> DataFrame:
-    """How many readings the silver joins drop, and for which reason.
+    """How many readings inner joins with both dimensions would drop, and why.
+
+    Silver itself keeps a reading of a date outside the dimension.
 
     Counting per device and day first leaves little to join.
     """

@@ -1,6 +1,7 @@
 """Joins of readings with a dimension.
 
-All are inner equi-joins: a reading without a partner is dropped.
+All are equi-joins. An inner one drops a reading without a partner, a left one
+keeps it with nulls.
 """
 
 from __future__ import annotations
@@ -47,5 +48,6 @@ def lookup(
     dimension: DataFrame,
     on: str | Column,
     limit: int = BROADCAST_LIMIT,
+    how: str = "inner",
 ) -> DataFrame:
-    return readings.join(bounded_broadcast(dimension, limit), on)
+    return readings.join(bounded_broadcast(dimension, limit), on, how)

@@ -39,19 +39,22 @@ def enrich(
     """Join readings to both dimensions and derive the silver columns.
 
     ``scorer`` adds ``sensor5Prediction``; it sees the sensor columns.
-    Readings of unknown devices or dates are dropped.
+    A date that the dimension lacks gets its attributes by arithmetic. Readings
+    of unknown devices are left out; :func:`unknown_devices` returns them.
     """
     day = F.to_date("datetime")
-    calendar = dates.select("CalendarDate", "CalendarDay")
+    calendar = dates.select(
+        F.col("CalendarDate").alias("knownDate"), F.col("CalendarDay").alias("knownDay")
+    )
     joined = lookup(readings, devices.select("device", "deviceName", "location"), "device", limit)
-    joined = lookup(joined, calendar, day == F.col("CalendarDate"), limit)
+    joined = lookup(joined, calendar, day == F.col("knownDate"), limit, "left")
     predicted = []
     if scorer is not None:
         joined = scorer(joined)
         predicted = ["sensor5Prediction"]
     return joined.select(
-        "CalendarDate",
-        "CalendarDay",
+        day.alias("CalendarDate"),
+        F.coalesce("knownDay", F.date_format(day, "EEEE")).alias("CalendarDay"),
         F.hour("datetime").alias("hourOfDay"),
         "datetime",
         "device",
@@ -61,3 +64,10 @@ def enrich(
         *predicted,
         *variance_columns(sensors),
     )
+
+
+def unknown_devices(
+    readings: DataFrame, devices: DataFrame, limit: int = BROADCAST_LIMIT
+) -> DataFrame:
+    """The readings, as they came, of devices that the dimension lacks, or of none."""
+    return lookup(readings, devices.select("device"), "device", limit, "left_anti")

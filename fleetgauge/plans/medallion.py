@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from fleetgauge import storage
 from fleetgauge.operators.alerts import alerts
 from fleetgauge.operators.lookups import bounded_broadcast
-from fleetgauge.operators.silver import Scorer, enrich
+from fleetgauge.operators.silver import Scorer, enrich, unknown_devices
 from fleetgauge.operators.thresholds import derive_thresholds
 from fleetgauge.operators.windows import window_averages
 from fleetgauge.schemas import SENSORS
@@ -22,7 +22,7 @@ from fleetgauge.sources.files import stream_files
 from fleetgauge.streaming.layers import start_alerts_log, start_gold
 from fleetgauge.streaming.runner import drain, start_in_pool
 
-LAYERS = ("bronze", "silver", "gold", "alerts")
+LAYERS = ("bronze", "silver", "gold", "alerts", "silver_unmatched")
 
 
 @dataclass(frozen=True)
@@ -45,7 +45,7 @@ def batch_layers(
 ) -> BatchLayers:
     """All layers as frames.
 
-    With given thresholds nothing runs yet. Otherwise they are derived from
+    The sizes of the dimensions are measured at once. Without given thresholds they are derived from
     gold, which two branches then read: gold and the thresholds are written
     to the shared folder first, so that the readings are scanned and shuffled
     once and gold, with the thresholds broadcast, not again.
@@ -74,8 +74,9 @@ def stream_layers(
     """Start one query per layer, coupled through parquet folders.
 
     Under ``availableNow`` each layer is drained before the next starts;
-    otherwise all four run side by side in the pools of the settings. Gold is
-    append mode, so alerts hold one row per closed window.
+    otherwise all run side by side in the pools of the settings. Gold is
+    append mode, so alerts hold one row per closed window. A fifth query stores
+    the readings of unknown devices, as they came, in ``silver_unmatched``.
     """
     stateful = stateful_session(spark)
     drained = settings.trigger == "availableNow"
@@ -125,4 +126,6 @@ def stream_layers(
     )
     closed = source(spark, "gold", gold_schema)
     run("alerts", lambda: start_alerts_log(closed, thresholds, measure=measure, **places("alerts")))
+    unmatched = unknown_devices(source(spark, "bronze", bronze.schema), devices)
+    run("silver_unmatched", lambda: stream_to_path(unmatched, **places("silver_unmatched")))
     return queries

@@ -232,6 +232,9 @@ FROM gold GROUP BY deviceName""",
     "thresholds": f"""WITH {LIMITS}
 SELECT deviceName AS "deviceName", {LIMIT} FROM limits""",
     "training_table_count": "SELECT count(*) AS row_count FROM lineitem",
+    "silver_unmatched": f"""WITH {READINGS},{DEVICES}
+SELECT device, datetime, sensor1, sensor2 FROM readings
+WHERE device IS NULL OR device NOT IN (SELECT device FROM devices WHERE location <> 'NATION_3')""",
     "unmatched_counts": f"""WITH {READINGS},{DEVICES}, flagged AS (
   SELECT d.device IS NULL AS stranger,
          CAST(datetime AS DATE) NOT BETWEEN DATE '2024-01-01' AND DATE '2024-01-10' AS outside

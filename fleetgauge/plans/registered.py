@@ -26,7 +26,7 @@ from fleetgauge.operators.quality import (
     quality_metrics,
     rejected,
 )
-from fleetgauge.operators.silver import enrich
+from fleetgauge.operators.silver import enrich, unknown_devices
 from fleetgauge.operators.thresholds import derive_thresholds, device_statistics
 from fleetgauge.operators.windows import flatten_window, window_averages
 from fleetgauge.plans import bindings as b
@@ -178,6 +178,17 @@ def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def silver_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings, as a stream, of devices that a dimension without one nation lacks."""
+    events = b.table(spark, sf_dir, "events")
+    rows = b.EVENTS.bind(stream_files(spark, f"{sf_dir}/events*.parquet", events.schema, "parquet"))
+    known = b.event_devices(spark, sf_dir).where("location <> 'NATION_3'")
+    out = fresh_path(spark, "unmatched")
+    lost = unknown_devices(rows, known).select("device", "datetime", *b.EVENT_SENSORS)
+    drain(stream_to_path(lost, out, fresh_path(spark, "cp"), trigger="availableNow"))
+    return b.wall_clock(spark.read.schema(lost.schema).parquet(out))
+
+
 def unmatched_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings lost to a date dimension that ends too early."""
     early = date_dimension(spark, dt.date(2024, 1, 1), dt.date(2024, 1, 10))
@@ -667,6 +678,7 @@ REGISTERED: tuple[Query, ...] = (
     threshold_statistics,
     thresholds,
     training_table_count,
+    silver_unmatched,
     unmatched_counts,
 )
 

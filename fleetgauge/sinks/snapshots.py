@@ -1,12 +1,14 @@
 """Sinks that write one folder per micro-batch.
 
 A folder is named after its batch and overwritten when the batch is retried,
-so a retry after a crash changes nothing. Complete output keeps the latest
+so a retry after a crash changes nothing. Batches are counted by the checkpoint,
+so a folder belongs to one checkpoint and another is refused. Complete output keeps the latest
 folder as the table; update and partial output keep all of them.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +18,7 @@ from fleetgauge import storage
 from fleetgauge.sinks.tables import with_trigger
 
 _PREFIX = "batch_id="
+_OWNER = "_checkpoint-"
 
 
 def _folder(path: str, batch: int) -> str:
@@ -50,14 +53,32 @@ def read_batches(spark: SparkSession, path: str, batches: list[int]) -> DataFram
     return spark.read.option("basePath", path).parquet(*folders)
 
 
+def _take(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """Mark a folder as this checkpoint's; refuse one whose batches it would overwrite."""
+    mark = _OWNER + hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+    held = storage.names(spark, path)
+    owners = [n for n in held if n.startswith(_OWNER)]
+    written = any(n.startswith(_PREFIX) for n in held)
+    resumed = storage.exists(spark, f"{checkpoint.rstrip('/')}/metadata")
+    if (owners and mark not in owners) or (written and not resumed):
+        raise ValueError(
+            f"{path} holds the batches of another checkpoint than {checkpoint}; "
+            "go on with that one, or write to a new folder"
+        )
+    storage.make_folder(spark, path)
+    storage.claim(spark, f"{path.rstrip('/')}/{mark}")
+
+
 def _each_batch(
     df: DataFrame,
+    path: str,
     write: Callable[[DataFrame, int], None],
     mode: str,
     checkpoint: str,
     query_name: str | None,
     trigger: str | None,
 ) -> StreamingQuery:
+    _take(df.sparkSession, path, checkpoint)
     writer = (
         df.writeStream.foreachBatch(write)
         .outputMode(mode)
@@ -95,7 +116,7 @@ def stream_complete(
         for old in finished_batches(spark, path)[:-keep]:
             storage.drop_folder(spark, _folder(path, old))
 
-    return _each_batch(df, write, "complete", checkpoint, query_name, trigger)
+    return _each_batch(df, path, write, "complete", checkpoint, query_name, trigger)
 
 
 def stream_changes(
@@ -110,7 +131,7 @@ def stream_changes(
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(_folder(path, number))
 
-    return _each_batch(df, write, "update", checkpoint, query_name, trigger)
+    return _each_batch(df, path, write, "update", checkpoint, query_name, trigger)
 
 
 def stream_batches(
@@ -130,4 +151,4 @@ def stream_batches(
     def write(batch: DataFrame, number: int) -> None:
         transform(batch).write.mode("overwrite").parquet(_folder(path, number))
 
-    return _each_batch(df, write, "append", checkpoint, query_name, trigger)
+    return _each_batch(df, path, write, "append", checkpoint, query_name, trigger)

@@ -68,7 +68,8 @@ def test_silver_columns_and_dropped_readings(spark, readings, devices, dates):
         readings((1, "10:30:00", 5.0), day="2023-12-31")
     )
     silver = enrich(kept.union(lost), devices, dates)
-    (row,) = silver.collect()
+    early, row = silver.orderBy("datetime").collect()
+    assert (str(early.CalendarDate), early.CalendarDay) == ("2023-12-31", "Sunday")
     assert silver.columns[:7] == [
         "CalendarDate", "CalendarDay", "hourOfDay", "datetime", "device", "deviceName", "location",
     ]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from fleetgauge import storage
 from fleetgauge.operators.dimensions import date_dimension
-from fleetgauge.operators.silver import enrich
+from fleetgauge.operators.silver import enrich, unknown_devices
 from fleetgauge.operators.windows import flatten_window, window_averages
 from fleetgauge.schemas import READING_SCHEMA, SENSORS
 from fleetgauge.session import stateful_session
@@ -422,3 +422,23 @@ def test_throttles_and_schemas_are_checked(spark, tmp_path):
         stream_files(spark, str(tmp_path))
     with pytest.raises(ValueError):
         start_gold(spark.range(1), "a", "b", mode="sometimes")
+
+
+def test_a_used_folder_refuses_a_new_checkpoint(spark, stateful, tmp_path):
+    first = write_slices(spark, tmp_path / "in", [[(i, 0, "a", float(i))] for i in range(3)])
+    for mode, read in (("complete", read_latest), ("additive", read_additive_gold)):
+        out = tmp_path / mode
+        run_gold(stateful, first, out, mode)
+        before = groups(read(spark, str(out)))
+        stream = stream_files(stateful, first, NAMED, max_files=1)
+        with pytest.raises(ValueError, match="another checkpoint"):
+            start_gold(stream, str(out), f"{out}-new", mode, trigger="availableNow")
+        run_gold(stateful, first, out, mode)
+        assert groups(read(spark, str(out))) == before
+
+
+def test_a_date_outside_the_dimension_stays(spark, readings, devices, dates):
+    rows = readings((1, "00:00:01", 1.0), (9, "00:00:02", 2.0), day="2031-05-05")
+    kept = enrich(rows, devices, dates).collect()
+    assert [(str(r.CalendarDate), r.CalendarDay) for r in kept] == [("2031-05-05", "Monday")]
+    assert [r.device for r in unknown_devices(rows, devices).collect()] == [9]

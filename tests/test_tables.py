@@ -1,5 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetgauge import catalog, storage
 from fleetgauge.session import (
@@ -10,9 +11,10 @@ from fleetgauge.session import (
     stored,
     widen_shuffles,
 )
-from fleetgauge.sinks.tables import overwrite_path, overwrite_table, preview
-from fleetgauge.sources.files import infer_schema, load_reference_csv, read_json
+from fleetgauge.sinks.tables import overwrite_path, overwrite_table, preview, stream_to_path
+from fleetgauge.sources.files import infer_schema, load_reference_csv, read_json, stream_files
 from fleetgauge.sources.tables import read_table, register_stream, view_of_table
+from fleetgauge.streaming.runner import drain
 
 
 @pytest.fixture
@@ -205,3 +207,23 @@ def test_preview(spark, capsys):
         assert query.isActive
     finally:
         query.stop()
+
+
+def test_compaction_keeps_types_and_comment(spark, database, tmp_path):
+    source = str(tmp_path / "text")
+    spark.sql("SELECT 1L AS n, '007' AS code").write.partitionBy("code").parquet(source)
+    name, schema = f"{database}.text", T.StructType().add("n", "long").add("code", "string")
+    catalog.external_table(spark, name, source, comment="codes", schema=schema, partition_by="code")
+    packed = catalog.compact_table(spark, name, str(tmp_path), partition_by="code")
+    assert [tuple(r) for r in packed.collect()] == [(1, "007")]
+    assert spark.catalog.getTable(name).description == "codes"
+
+
+def test_a_streamed_table_is_not_compacted(spark, database, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(5).write.parquet(source)
+    rows = stream_files(spark, source, fmt="parquet")
+    drain(stream_to_path(rows, out, str(tmp_path / "cp"), trigger="availableNow"))
+    catalog.external_table(spark, f"{database}.streamed", out)
+    with pytest.raises(ValueError, match="stream"):
+        catalog.compact_table(spark, f"{database}.streamed", str(tmp_path))
