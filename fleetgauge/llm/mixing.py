@@ -1,33 +1,40 @@
 """Mixing sources to target weights by a Pfair schedule.
 
-Sources are cut into blocks. Weights are whole shares of a cycle of slots, so a
-source with share w of P slots has in its i-th block a release slot
-floor((i - 1) * P / w) and a deadline ceil(i * P / w). Earliest deadline first
-over released blocks meets every deadline, and then no source is ever a whole
-block ahead of or behind its share. One cycle is a table of P rows that holds
-for any amount of data. When a source has no blocks left, a new phase begins
-with the weights of the others. Every document comes exactly once.
+Sources are cut into blocks. Weights are exact fractions, so a source with
+weight w has in its i-th block a release slot floor((i - 1) / w) and a deadline
+ceil(i / w). Earliest deadline first over released blocks meets every deadline,
+and then no source is ever a whole block ahead of or behind its target, however
+long the data. When a source has no blocks left, a new phase begins with the
+weights of the others. Every document comes exactly once.
+
+The order of the blocks is one after the other by nature: the driver deals the slots,
+from a state of a few numbers for each source, and stores them a million at a time.
+Documents are numbered and placed by Spark.
 
 Defined results: a null source is a source of its own. A source without a
 target weight gets the smallest one given. Repeated rows and ids are separate
 documents; a null text weighs like any. Column names added by ``schedule``
-replace equal ones. Sources are few (``SOURCES`` at most); the number of rows is
-not bounded.
+replace equal ones. Neither the sources nor the rows are bounded.
 """
 
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from fractions import Fraction
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetgauge.session import fresh_path
+
 CYCLE = 1000
-SOURCES = 1000
 BLOCK = 16
 CHUNK = 20_000
+SLOTS = 1_000_000
 
 
 def shares(weights: Mapping[str, float], cycle: int = CYCLE) -> dict[str, int]:
@@ -61,42 +68,66 @@ def cycle_order(slots: Mapping[str, int]) -> list[str]:
     return order
 
 
-def phases(blocks: Mapping[str, int], weights: Mapping[str, float], cycle: int = CYCLE) -> list[tuple]:
-    """Rows (source, first block, last block, share, place in cycle, slots of cycle, first slot).
+def whole(weights: Mapping[str, float]) -> dict[str, int]:
+    """Weights as whole numbers in exactly the given ratio."""
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    scale = math.lcm(*(x.denominator for x in exact.values()))
+    return {s: int(x * scale) for s, x in exact.items()}
+
 
-    A phase runs until some source's last block has had its slot. One row is
-    one block of a cycle; with its share it stands for every cycle of the phase.
+def dealt_slots(blocks: Mapping[str, int], weights: Mapping[str, int]) -> Iterator[tuple[str, int]]:
+    """Source and block (from 0) of each slot: earliest deadline first over released blocks.
+
+    A source's first block of a phase is released at once, so those wait in a
+    list by weight, which needs no work when a phase begins.
     """
-    done = {s: 0 for s in blocks}
-    start, rows = 0, []
-    while active := {s: weights[s] for s in blocks if done[s] < blocks[s]}:
-        slots = shares(active, cycle)
-        order = cycle_order(slots)
-        places: dict[str, list[int]] = {s: [] for s in active}
-        for place, s in enumerate(order):
-            places[s].append(place)
-
-        def ends(s: str) -> int:
-            full, part = divmod(blocks[s] - done[s] - 1, slots[s])
-            return full * len(order) + places[s][part]
-
-        length = min(ends(s) for s in active) + 1
-        full, part = divmod(length, len(order))
-        for s, at in places.items():
-            count = full * slots[s] + sum(p < part for p in at)
-            rows += [
-                (s, done[s], done[s] + count, slots[s], k, place, len(order), start)
-                for k, place in enumerate(at)
-                if k < count
-            ]
-            done[s] += count
-        start += length
-    return rows
-
-
-PLAN = (
-    "_source string, _first long, _end long, _share int, _k int, _place int, _cycle int, _start long"
-)
+    by_weight = sorted((s for s in blocks if blocks[s] > 0), key=lambda s: (-weights[s], s))
+    after = dict(zip([None, *by_weight], [*by_weight, None]))
+    before = {s: p for p, s in after.items()}
+    total = sum(weights[s] for s in by_weight)
+    done = dict.fromkeys(by_weight, 0)
+    now, fresh = 0, after[None]
+    waiting: list[tuple[int, int, str, int]] = []
+    ready: list[tuple[int, str, int]] = []
+    while after[None] is not None:
+        while waiting and waiting[0][0] <= now:
+            heapq.heappush(ready, heapq.heappop(waiting)[1:])
+        if fresh is not None and not (ready and ready[0][0] <= -(-total // weights[fresh])):
+            s, i = fresh, 1
+            fresh = after[fresh]
+        else:
+            _, s, i = heapq.heappop(ready)
+        yield s, done[s]
+        done[s] += 1
+        now += 1
+        if done[s] < blocks[s]:
+            w = weights[s]
+            heapq.heappush(waiting, (i * total // w, -(-(i + 1) * total // w), s, i + 1))
+            continue
+        p, n = before[s], after[s]
+        after[p] = n
+        before[n] = p
+        total -= weights[s]
+        now, fresh = 0, after[None]
+        waiting, ready = [], []
+
+
+def _stored_slots(spark: SparkSession, blocks: Mapping[str, int], weights: Mapping[str, int]) -> DataFrame:
+    """A table of each block's slot, in which sources go by their number in ``blocks``."""
+    number = {s: k for k, s in enumerate(blocks)}
+    path, first = fresh_path(spark, "mixture-slots"), 0
+    schema = pa.schema([("_number", pa.int64()), ("_block", pa.int64()), ("_slot", pa.int64())])
+    slots = dealt_slots(blocks, weights)
+    while True:
+        part = list(itertools.islice(slots, SLOTS))
+        columns = [[number[s] for s, _ in part], [i for _, i in part], range(first, first + len(part))]
+        table = pa.table([pa.array(c, pa.int64()) for c in columns], schema=schema)
+        spark.createDataFrame(table).write.mode("append").parquet(path)
+        first += len(part)
+        if len(part) < SLOTS:
+            return spark.read.schema("_number long, _block long, _slot long").parquet(path)
+
+
 _KEY = "coalesce(concat('=', CAST(source AS string)), '')"
 
 
@@ -104,11 +135,12 @@ def schedule(
     docs: DataFrame,
     weights: Mapping[str | None, float] | None = None,
     block: int = BLOCK,
-    cycle: int = CYCLE,
+    cycle: int | None = None,
 ) -> DataFrame:
     """Add slot (from 0, one for each block) and place (of a document in its block).
 
     Without weights, a source weighs as the root of its number of documents.
+    With a cycle, weights are rounded to whole shares of it.
     Documents are numbered within chunks that a hash deals out, so a source
     with a third of all rows is many small windows; only the counts of the
     chunks are summed up per source.
@@ -119,18 +151,17 @@ def schedule(
     dealt = named.withColumn("_chunk", F.pmod(F.xxhash64("_hash"), F.lit(chunks)))
     counts = dealt.groupBy("_source", "_chunk").agg(F.count("*").alias("_n"))
     sizes = {r["_source"]: r["n"] for r in counts.groupBy("_source").agg(F.sum("_n").alias("n")).collect()}
-    if len(sizes) > SOURCES:
-        raise ValueError(f"{len(sizes)} sources; a mixture has {SOURCES} at most")
     if weights is None:
         chosen = {s: math.sqrt(n) for s, n in sizes.items()}
     else:
         given = {"" if s is None else f"={s}": w for s, w in weights.items() if w > 0}
         chosen = {s: given.get(s, min(given.values(), default=1.0)) for s in sizes}
-    rows = phases({s: -(-n // block) for s, n in sizes.items()}, chosen, cycle)
+    blocks = {s: -(-n // block) for s, n in sorted(sizes.items())}
     spark = docs.sparkSession
-    plan = spark.createDataFrame(rows, PLAN)
+    plan = _stored_slots(spark, blocks, whole(chosen) if cycle is None else shares(chosen, cycle))
+    numbers = spark.createDataFrame(list(zip(blocks, range(len(blocks)))), "_source string, _number long")
     earlier = "sum(_n) OVER (PARTITION BY _source ORDER BY _chunk) - _n AS _before"
-    offsets = counts.selectExpr("_source", "_chunk", earlier)
+    offsets = counts.selectExpr("_source", "_chunk", earlier).join(F.broadcast(numbers), "_source")
     numbered = (
         dealt.withColumn(
             "_row",
@@ -140,29 +171,20 @@ def schedule(
         .withColumn("_index", F.col("_before") + F.col("_row"))
         .withColumn("_block", F.floor(F.col("_index") / block))
     )
-    bounds = spark.createDataFrame(sorted({(r[0], r[1], r[2], r[3]) for r in rows}), "_source string, _first long, _end long, _share int")
-    phased = numbered.join(
-        F.broadcast(
-            bounds.groupBy("_source").agg(F.sort_array(F.collect_list(F.struct("_first", "_end", "_share"))).alias("_phases"))
-        ),
-        "_source",
-    ).withColumn("_phase", F.filter("_phases", lambda p: (p["_first"] <= F.col("_block")) & (F.col("_block") < p["_end"]))[0])
-    inside = F.col("_block") - F.col("_phase._first")
-    keyed = phased.withColumns(
-        {
-            "_first": F.col("_phase._first"),
-            "_k": (inside % F.col("_phase._share")).cast("int"),
-            "_round": F.floor(inside / F.col("_phase._share")),
-        }
-    )
-    slot = (F.col("_start") + F.col("_round") * F.col("_cycle") + F.col("_place")).cast("long")
     return (
-        keyed.join(F.broadcast(plan.drop("_end", "_share")), ["_source", "_first", "_k"])
-        .withColumns({"slot": slot, "place": (F.col("_index") % block).cast("int")})
+        numbered.join(plan, ["_number", "_block"])
+        .withColumns({"slot": F.col("_slot"), "place": (F.col("_index") % block).cast("int")})
         .select(*[c for c in docs.columns if c not in ("slot", "place")], "slot", "place")
     )
 
 
+def placed(docs: DataFrame, weights: Mapping[str | None, float] | None = None) -> DataFrame:
+    """All documents with their slot and place, whatever their other columns are called."""
+    kept = [c for c in docs.columns if c not in ("slot", "place")]
+    rows = docs.select(F.struct(*kept).alias("_whole"), "doc_id", "text", "source")
+    return schedule(rows, weights).select("_whole.*", "slot", "place")
+
+
 def mixed(docs: DataFrame, weights: Mapping[str | None, float] | None = None) -> DataFrame:
     """All documents in the order of the schedule."""
     rows = docs.select(F.struct(*docs.columns).alias("_whole"), "doc_id", "text", "source")
