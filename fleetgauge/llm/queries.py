@@ -14,10 +14,13 @@ from fleetgauge.llm import (
     mixing,
     ngram_join,
     ppm,
+    private_data,
     quality_rules,
+    resampling,
     sentencepiece_codec,
     topk_search,
     url_reputation,
+    whitening,
 )
 from fleetgauge.llm.ship import ship
 
@@ -93,6 +96,84 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.by_component(whitening.whiten(_table(spark, sf_dir, "embeddings")))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+# crc32 is the table-driven one; "steps" is its table, made by eight shifts of each index.
+OP12_SQL = """
+WITH RECURSIVE shifted AS (
+    SELECT i, i AS v, 0 AS k FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS i)
+    UNION ALL
+    SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1
+    FROM shifted WHERE k < 8
+), steps AS (
+    SELECT list(v ORDER BY i) AS step FROM shifted WHERE k = 8
+), word_lists AS (
+    SELECT 0 AS kind, doc_id AS id, {words} AS words FROM documents
+    UNION ALL
+    SELECT 1, item_id, {words} FROM benchmark
+), features AS (
+    SELECT kind, id, unnest(words) AS word FROM word_lists
+), spelt AS (
+    SELECT word, list_transform(
+        range(1, CAST(octet_length(encode(word)) AS BIGINT) + 1),
+        lambda j: CAST(('0x' || substr(hex(encode(word)), 2 * j - 1, 2)) AS BIGINT)
+    ) AS bytes
+    FROM (SELECT DISTINCT word FROM features)
+), hashed AS (
+    SELECT word, xor(
+        list_reduce(
+            list_prepend(4294967295, bytes),
+            lambda state, b: xor(step[(xor(state, b) & 255) + 1], state >> 8)
+        ), 4294967295) % 10000 AS bucket
+    FROM spelt, steps
+), placed AS (
+    SELECT kind, id, bucket FROM features JOIN hashed USING (word)
+), totals AS (
+    SELECT count(*) FILTER (kind = 0) AS held, count(*) FILTER (kind = 1) AS aimed FROM placed
+), gains AS (
+    SELECT bucket, CAST(floor(1000 * ln(
+        ((t + 1) * (held + 10000))::DOUBLE / ((s + 1) * (aimed + 10000)))) AS BIGINT) AS gain
+    FROM (SELECT bucket, count(*) FILTER (kind = 0) AS s, count(*) FILTER (kind = 1) AS t
+          FROM placed GROUP BY bucket), totals
+), weights AS (
+    SELECT id AS doc_id, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight
+    FROM placed JOIN gains USING (bucket) WHERE kind = 0 GROUP BY id
+), scored AS (
+    SELECT d.doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((
+               CAST(('0x' || substr(sha256('2024:' || d.doc_id), 1, 8)) AS BIGINT) + 0.5::DOUBLE
+           ) / 4294967296))) AS BIGINT) AS score
+    FROM documents d LEFT JOIN weights USING (doc_id)
+), placed_by_score AS (
+    SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+           count(*) FILTER (n_features >= 20) OVER () AS able
+    FROM scored
+)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_features >= 20 AND place <= 10 * able // 100 THEN place END AS rank
+FROM placed_by_score
+""".replace(
+    "{words}",
+    "coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+    "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), [])",
+)
+
+
+def op13_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_data.counted(
+        private_data.find_private_data(_table(spark, sf_dir, "documents"))
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -109,10 +190,13 @@ def queries() -> dict:
         op8_sentencepiece,
         op9_ppm,
         op10_quality_rules,
+        op11_whitening,
+        op12_resampling,
+        op13_private_data,
         pipeline,
     )
     return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_topk_search": OP2_SQL}
+    return {"op2_topk_search": OP2_SQL, "op12_resampling": OP12_SQL}
