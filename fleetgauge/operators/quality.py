@@ -81,12 +81,3 @@ def quality_metrics(df: DataFrame, rules: Iterable[Expectation]) -> DataFrame:
     )
     return totals.select(line.alias("m")).select("m.*")
 
-
-def observe(df: DataFrame, rules: Iterable[Expectation], name: str = "quality") -> DataFrame:
-    """Count rule results while the rows pass by, at no extra pass.
-
-    Put it before :func:`apply_expectations`. A streaming query reports the
-    counts of each micro-batch in its progress under ``name``; see
-    ``streaming.quality.RuleCounts`` for totals.
-    """
-    return df.observe(name, *metric_columns(rules))

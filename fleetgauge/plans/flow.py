@@ -2,7 +2,8 @@
 
 A table whose builder returns a stream is fed incrementally; one whose
 builder returns a batch frame is overwritten. Inputs are passed by name, as
-frames; those listed in ``streams`` are passed as streams of the table.
+frames; those listed in ``streams`` are passed as streams of the table. A
+streamed table with rules stores its counts, see :mod:`fleetgauge.sinks.ledger`.
 """
 
 from __future__ import annotations
@@ -15,16 +16,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetgauge import catalog
-from fleetgauge.operators.quality import (
-    Expectation,
-    apply_expectations,
-    metric_columns,
-    observe,
-)
+from fleetgauge.operators.quality import Expectation, apply_expectations, metric_columns
 from fleetgauge.settings import Settings
+from fleetgauge.sinks.ledger import BATCH, rule_totals, stream_with_ledger
 from fleetgauge.sinks.tables import overwrite_table, stream_to_table
 from fleetgauge.sources.tables import stream_table
-from fleetgauge.streaming.quality import RuleCounts
 from fleetgauge.streaming.runner import drain, start_in_pool
 
 Builder = Callable[[SparkSession, Mapping[str, DataFrame]], DataFrame]
@@ -53,7 +49,6 @@ class Flow:
     nodes: dict[str, Node] = field(default_factory=dict)
     queries: dict[str, StreamingQuery] = field(default_factory=dict)
     _observations: dict[str, Observation] = field(default_factory=dict)
-    _counts: RuleCounts | None = None
 
     def _add(self, node: Node) -> None:
         if node.name in self.nodes:
@@ -130,7 +125,7 @@ class Flow:
                         self.settings.table(p),
                         self.settings.max_files_per_trigger,
                         self.settings.max_bytes_per_trigger,
-                    )
+                    ).drop(BATCH)
                     if parent.stored
                     else frames[p]
                 )
@@ -149,53 +144,42 @@ class Flow:
                 df, table, path, self.settings.table_format, node.partition_by
             )
         else:
-            if node.expectations:
-                df = observe(df, node.expectations)
-                if self._counts is None:
-                    self._counts = RuleCounts()
-                    self.spark.streams.addListener(self._counts)
-            df = apply_expectations(df, node.expectations)
             pools = self.settings.pools
             pool = pools[len(self.queries) % len(pools)] if pools else None
-            query = start_in_pool(
-                self.spark,
-                pool,
-                lambda: stream_to_table(
-                    df,
-                    table,
-                    path,
-                    self.settings.checkpoint_path(node.name),
-                    query_name=node.name,
-                    trigger="availableNow" if wait else self.settings.trigger,
-                    partition_by=node.partition_by,
-                    fmt=self.settings.table_format,
-                ),
-            )
-            self.queries[node.name] = query
+            trigger = "availableNow" if wait else self.settings.trigger
+            checkpoint = self.settings.checkpoint_path(node.name)
+
+            def start() -> StreamingQuery:
+                places = {"query_name": node.name, "trigger": trigger, "partition_by": node.partition_by}
+                if node.expectations:
+                    return stream_with_ledger(df, node.expectations, path, checkpoint, table, **places)
+                fmt = self.settings.table_format
+                return stream_to_table(df, table, path, checkpoint, fmt=fmt, **places)
+
+            query = self.queries[node.name] = start_in_pool(self.spark, pool, start)
             if wait:
                 drain(query)
-            stored = self.spark.table(table)
+            stored = self.spark.table(table).drop(BATCH)
         if node.comment:
             catalog.comment_on(self.spark, table, node.comment)
         return stored
 
     def stop(self) -> None:
-        """Stop what still runs; counts of rules stay readable."""
+        """Stop what still runs."""
         for query in self.queries.values():
             query.stop()
-        if self._counts is not None:
-            for name, query in self.queries.items():
-                if self.nodes[name].expectations:
-                    self._counts.totals(query, self.nodes[name].expectations)
-            self.spark.streams.removeListener(self._counts)
 
     def quality(self, name: str) -> dict[str, dict[str, int]]:
-        """Passed, failed and null counts per rule of the last run of a table."""
+        """Passed, failed and null counts per rule of a table.
+
+        Of a streamed table they are read from its ledger and cover every
+        batch that it holds; of another, the last run.
+        """
         rules = self.nodes[name].expectations
+        kinds = ("passed", "failed", "nulls")
         if name in self.queries:
-            return self._counts.totals(self.queries[name], rules)
+            rows = rule_totals(self.spark, self.settings.data_path(name)).collect()
+            totals = {row.rule: row for row in rows}
+            return {r.name: {k: totals[r.name][k] if r.name in totals else 0 for k in kinds} for r in rules}
         counts = self._observations[name].get
-        return {
-            r.name: {k: counts[f"{r.name}_{k}"] for k in ("passed", "failed", "nulls")}
-            for r in rules
-        }
+        return {r.name: {k: counts[f"{r.name}_{k}"] for k in kinds} for r in rules}

@@ -145,10 +145,12 @@ _SILVER = f"WITH {SILVER} SELECT {SILVER_COLUMNS} FROM silver"
 _READINGS = f"WITH {READINGS} SELECT * FROM readings"
 _DEVICES = f'WITH {DEVICES} SELECT device, deviceName AS "deviceName", location FROM devices'
 
+AWAKE = "hourOfDay NOT BETWEEN 2 AND 3"
+
 _METRICS = f"""WITH {SILVER}, totals AS (
-  SELECT 'device17X' AS rule, 'drop' AS action, device NOT BETWEEN 17 AND 19 AS holds FROM silver
-  UNION ALL SELECT 'locationClosed', 'warn', location != 'NATION_3' FROM silver
-  UNION ALL SELECT 'sensorMax', 'warn', sensor1 <= 100 FROM silver
+  SELECT 'awake' AS rule, 'drop' AS action, {AWAKE} AS holds FROM silver
+  UNION ALL SELECT 'notSunday', 'warn', CalendarDay != 'Sunday' FROM silver
+  UNION ALL SELECT 'steepness', 'warn', sensor1 / nullif(sensor2, 0) <= 25 FROM silver
 ), counted AS (
   SELECT rule, action, count(*) FILTER (WHERE holds) AS passed,
          count(*) FILTER (WHERE NOT holds) AS failed,
@@ -189,7 +191,12 @@ FROM silver GROUP BY ALL""",
     "envelope_roundtrip": "SELECT * FROM events",
     "expectation_metrics": _METRICS + " SELECT * FROM counted",
     "flow_quality": _METRICS + " SELECT rule, passed, failed, nulls FROM counted",
-    "flow_silver": _SILVER + " WHERE device NOT BETWEEN 17 AND 19",
+    "flow_silver": _SILVER + f" WHERE {AWAKE}",
+    "flow_busy_hours": f"""WITH {SILVER}, hours AS (
+  SELECT location, hourOfDay, count(*) AS readings, max(sensor1) AS highest
+  FROM silver WHERE {AWAKE} GROUP BY ALL)
+SELECT location, hourOfDay AS "hourOfDay", readings, highest FROM hours
+QUALIFY readings = max(readings) OVER (PARTITION BY location)""",
     "gold_additive_stream": _GOLD,
     "gold_closed_windows": _GOLD
     + " WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '1 minute'",
@@ -207,10 +214,10 @@ FROM events""",
     "model_stream_score": _least_squares(),
     "sensor_wide_windows": f"WITH {WIDE_GOLD} SELECT {WIDE_COLUMNS} FROM gold",
     "silver_enriched": _SILVER,
-    "silver_expect_drop": _SILVER + " WHERE device NOT BETWEEN 17 AND 19",
+    "silver_expect_drop": _SILVER + f" WHERE {AWAKE}",
     "silver_refreshed_stream": _SILVER,
-    "silver_rejected": f"WITH {SILVER} SELECT {SILVER_COLUMNS}, 'device17X' AS broken "
-    "FROM silver WHERE device BETWEEN 17 AND 19",
+    "silver_rejected": f"WITH {SILVER} SELECT {SILVER_COLUMNS}, 'awake' AS broken "
+    f"FROM silver WHERE NOT ({AWAKE})",
     "silver_scored": f"""WITH {ITEMS},{SUPPLIERS}
 SELECT CAST(datetime AS DATE) AS "CalendarDate", dayname(datetime) AS "CalendarDay",
        CAST(hour(datetime) AS INTEGER) AS "hourOfDay", datetime, device,

@@ -36,6 +36,7 @@ from fleetgauge.plans.medallion import BatchLayers, batch_layers, stream_layers
 from fleetgauge.schemas import SENSORS
 from fleetgauge.session import fresh_path, stateful_session, stored
 from fleetgauge.settings import Settings
+from fleetgauge.sinks.ledger import rule_totals
 from fleetgauge.sinks.broker import stream_to_envelope_files
 from fleetgauge.sinks.snapshots import read_all, read_latest
 from fleetgauge.sinks.tables import overwrite_path, overwrite_table, stream_to_path, stream_to_table
@@ -59,10 +60,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 MEASURE = "sensor1_avg"
 
+# Of hours in which little is sent, of Sundays, and of a ratio that a zero leaves open.
 RULES = (
-    Expectation("device17X", "device NOT BETWEEN 17 AND 19", "drop"),
-    Expectation("locationClosed", "location != 'NATION_3'"),
-    Expectation("sensorMax", "sensor1 <= 100"),
+    Expectation("awake", "hourOfDay NOT BETWEEN 2 AND 3", "drop"),
+    Expectation("notSunday", "CalendarDay != 'Sunday'"),
+    Expectation("steepness", "sensor1 / nullif(sensor2, 0) <= 25"),
 )
 
 # A fixed linear model, to check scoring apart from fitting.
@@ -518,18 +520,20 @@ def compact_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.wall_clock(packed)
 
 
-SILVER_SQL = """
-SELECT d.CalendarDate, d.CalendarDay, hour(r.datetime) AS hourOfDay, r.datetime,
-       i.device, i.deviceName, i.location, r.sensor1, r.sensor2,
-       r.sensor2 - r.sensor1 AS sensor2Variance
-FROM bronze r
-JOIN device_info i ON r.device = i.device
-JOIN dim_date d ON to_date(r.datetime) = d.CalendarDate
+BUSY_SQL = """
+WITH hours AS (
+  SELECT location, hourOfDay, count(*) AS readings, max(sensor1) AS highest
+  FROM silver GROUP BY location, hourOfDay
+), places AS (
+  SELECT location, max(readings) AS most FROM hours GROUP BY location
+)
+SELECT hours.location, hours.hourOfDay, hours.readings, hours.highest
+FROM hours JOIN places ON hours.location = places.location AND hours.readings = places.most
 """
 
 
 def _silver_flow(spark: SparkSession, sf_dir: str) -> Flow:
-    """Bronze and silver as a declared flow over replayed files."""
+    """Bronze and silver as a declared flow over replayed files, and a summary in SQL."""
     source = b.replayed(b.event_readings(spark, sf_dir), sf_dir, "events", "json")
     flow = Flow(spark, _settings(spark, "flow"))
     flow.view(
@@ -539,31 +543,33 @@ def _silver_flow(spark: SparkSession, sf_dir: str) -> Flow:
     flow.table("bronze", lambda s, i: i["raw"], reads=("raw",), comment="Readings as received")
     flow.view("device_info", lambda s, _: b.event_devices(s, sf_dir))
     flow.view("dim_date", lambda s, _: b.event_dates(s, sf_dir))
-    flow.sql_table(
+    flow.table(
         "silver",
-        SILVER_SQL,
+        lambda s, i: enrich(i["bronze"], i["device_info"], i["dim_date"], sensors=b.EVENT_SENSORS),
         reads=("device_info", "dim_date"),
         streams=("bronze",),
         comment="Readings with device and calendar attributes",
         expectations=RULES,
     )
+    flow.sql_table("busy_hours", BUSY_SQL, reads=("silver",), comment="The fullest hours of a place")
     flow.run()
     return flow
 
 
 def flow_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     flow = _silver_flow(spark, sf_dir)
-    flow.stop()
-    return b.wall_clock(spark.table(flow.settings.table("silver")))
+    return b.wall_clock(spark.table(flow.settings.table("silver")).drop("batch_id"))
 
 
 def flow_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rule counts observed while the flow's stream ran."""
+    """Rule counts from the ledger that the flow's stream wrote."""
     flow = _silver_flow(spark, sf_dir)
-    flow.stop()
-    counts = flow.quality("silver")
-    rows = [(rule, c["passed"], c["failed"], c["nulls"]) for rule, c in counts.items()]
-    return spark.createDataFrame(rows, "rule string, passed bigint, failed bigint, nulls bigint")
+    return rule_totals(spark, flow.settings.data_path("silver")).drop("action")
+
+
+def flow_busy_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that the flow builds by SQL with common table expressions."""
+    return spark.table(_silver_flow(spark, sf_dir).settings.table("busy_hours"))
 
 
 # Saved queries
@@ -653,6 +659,7 @@ REGISTERED: tuple[Query, ...] = (
     dim_date,
     envelope_roundtrip,
     expectation_metrics,
+    flow_busy_hours,
     flow_quality,
     flow_silver,
     gold_additive_stream,

@@ -36,25 +36,6 @@ THRESHOLD_SCHEMA = T.StructType(
     ]
 )
 
-# Payload of the usage log that is replayed through a broker. All text: a
-# landing table takes what arrives and leaves typing to the next layer.
-USAGE_LOG_SCHEMA = T.StructType(
-    [
-        T.StructField(name, T.StringType())
-        for name in (
-            "msno",
-            "date",
-            "num_25",
-            "num_50",
-            "num_75",
-            "num_985",
-            "num_100",
-            "num_unq",
-            "total_secs",
-        )
-    ]
-)
-
 
 @dataclass(frozen=True)
 class ReadingSpec:

@@ -69,7 +69,7 @@ def _take(spark: SparkSession, path: str, checkpoint: str) -> None:
     storage.claim(spark, f"{path.rstrip('/')}/{mark}")
 
 
-def _each_batch(
+def each_batch(
     df: DataFrame,
     path: str,
     write: Callable[[DataFrame, int], None],
@@ -116,7 +116,7 @@ def stream_complete(
         for old in finished_batches(spark, path)[:-keep]:
             storage.drop_folder(spark, _folder(path, old))
 
-    return _each_batch(df, path, write, "complete", checkpoint, query_name, trigger)
+    return each_batch(df, path, write, "complete", checkpoint, query_name, trigger)
 
 
 def stream_changes(
@@ -131,7 +131,7 @@ def stream_changes(
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(_folder(path, number))
 
-    return _each_batch(df, path, write, "update", checkpoint, query_name, trigger)
+    return each_batch(df, path, write, "update", checkpoint, query_name, trigger)
 
 
 def stream_batches(
@@ -151,4 +151,4 @@ def stream_batches(
     def write(batch: DataFrame, number: int) -> None:
         transform(batch).write.mode("overwrite").parquet(_folder(path, number))
 
-    return _each_batch(df, path, write, "append", checkpoint, query_name, trigger)
+    return each_batch(df, path, write, "append", checkpoint, query_name, trigger)
