@@ -203,6 +203,23 @@ QUALIFY readings = max(readings) OVER (PARTITION BY location)""",
     "gold_window_batch": _GOLD,
     "gold_window_stream": _GOLD,
     "json_batch_scan": _READINGS,
+    "json_schema_merge": f"""
+SELECT user_id AS device, ts AS datetime,
+       CASE event_id % 3 WHEN 0 THEN floor(value) WHEN 1 THEN value END AS sensor1,
+       CASE event_id % 3 WHEN 1 THEN CAST({K} AS BIGINT) END AS sensor2,
+       CASE event_id % 3 WHEN 2 THEN event_type END AS kind,
+       CASE event_id % 3 WHEN 2 THEN event_id END AS number
+FROM events""",
+    "json_rejects": """
+SELECT event_id, CASE WHEN event_id % 11 > 0 THEN user_id END AS user_id,
+       CASE WHEN event_id % 11 > 0 THEN event_type END AS event_type,
+       CASE WHEN event_id % 11 > 1 THEN value END AS value,
+       CASE event_id % 11 WHEN 1 THEN '{"value":"n/a","was":"' || value || '"}'
+                          WHEN 2 THEN '{"firmware":"v2"}' END AS rescued,
+       CASE WHEN event_id % 11 = 0 THEN 'not an object' END AS rejected,
+       CASE WHEN event_id % 11 = 0 THEN CAST(length('{"user_id":' || user_id || ',"event_type":"' ||
+           event_type || '","value":' || value || '}') - 6 AS INTEGER) END AS raw
+FROM events""",
     "landing_partitioned": """
 SELECT event_id AS "sequenceNumber", CAST(user_id AS VARCHAR) AS user_id, event_type,
        CAST(value AS VARCHAR) AS value, props, CAST(ts AS DATE) AS stream_date

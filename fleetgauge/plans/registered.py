@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetgauge import catalog
-from fleetgauge.functions.codec import decode, encode, land, to_message
+from fleetgauge.functions.codec import FORMATS, decode, encode, land, to_message
 from fleetgauge.models.registry import ModelRegistry
 from fleetgauge.models.scoring import linear_scorer, register_function, score, scorer
 from fleetgauge.models.training import fit_linear, train_sensor_model
@@ -36,10 +36,11 @@ from fleetgauge.plans.medallion import BatchLayers, batch_layers, stream_layers
 from fleetgauge.schemas import SENSORS
 from fleetgauge.session import fresh_path, stateful_session, stored
 from fleetgauge.settings import Settings
-from fleetgauge.sinks.ledger import rule_totals
 from fleetgauge.sinks.broker import stream_to_envelope_files
+from fleetgauge.sinks.ledger import rule_totals
 from fleetgauge.sinks.snapshots import read_all, read_latest
 from fleetgauge.sinks.tables import overwrite_path, overwrite_table, stream_to_path, stream_to_table
+from fleetgauge.sources.evolving import decode_all, merged_schema
 from fleetgauge.sources.files import (
     infer_schema,
     ingest_files,
@@ -125,6 +126,49 @@ def json_batch_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.wall_clock(read_json(spark, path, infer_schema(spark, files[0])))
 
 
+def json_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings as JSON whose fields and types differ by file, read with the schema of all files."""
+    events = b.table(spark, sf_dir, "events")
+    fields = {
+        0: ("CAST(floor(value) AS BIGINT) AS sensor1",),
+        1: ("value AS sensor1", "TRY_CAST(get_json_object(props, '$.k') AS BIGINT) AS sensor2"),
+        2: ("named_struct('kind', event_type, 'number', event_id) AS origin",),
+    }
+    folder = fresh_path(spark, "uneven-json")
+    for k, columns in fields.items():
+        rows = events.where(f"event_id % 3 = {k}").selectExpr(
+            "user_id AS device", "CAST(ts AS TIMESTAMP) AS datetime", *columns
+        )
+        rows.write.options(**FORMATS).json(f"{folder}/source={k}")
+    merged = merged_schema(spark, folder)
+    rows = spark.read.schema(merged).options(**FORMATS).option("recursiveFileLookup", "true").json(folder)
+    return b.wall_clock(
+        rows.select("device", "datetime", "sensor1", "sensor2", "origin.kind", "origin.number")
+    )
+
+
+# Messages cut short, with a text for a number, with a field that nobody announced.
+BROKEN_BY = """CASE event_id % 11
+  WHEN 0 THEN left(body, length(body) - 6)
+  WHEN 1 THEN replace(body, '"value":', '"value":"n/a","was":')
+  WHEN 2 THEN replace(body, '"value":', '"firmware":"v2","value":')
+  ELSE body END"""
+
+
+def json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of which some are broken by a fixed rule: decoded with their rest, or rejected."""
+    events = b.table(spark, sf_dir, "events")
+    body = events.select("event_id", to_message("user_id", "event_type", "value").alias("body"))
+    topic, out = fresh_path(spark, "topic"), fresh_path(spark, "decoded")
+    body.select("event_id", F.expr(BROKEN_BY).alias("body")).write.parquet(topic)
+    messages = stream_files(spark, topic, "event_id bigint, body string", "parquet")
+    schema = events.select("user_id", "event_type", "value").schema
+    decoded = decode_all(messages, schema, "body", keep=("event_id",))
+    drain(stream_to_path(decoded, out, fresh_path(spark, "cp"), trigger="availableNow"))
+    rows = spark.read.schema(decoded.schema).parquet(out)
+    return rows.withColumns({"rescued": F.to_json("rescued"), "raw": F.length("raw")})
+
+
 def csv_reference_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Device dimension through CSV into a table, keys checked."""
     path, settings = fresh_path(spark, "csv"), _settings(spark, "reference")
@@ -667,6 +711,8 @@ REGISTERED: tuple[Query, ...] = (
     gold_window_batch,
     gold_window_stream,
     json_batch_scan,
+    json_rejects,
+    json_schema_merge,
     landing_partitioned,
     model_fit_linear,
     model_registered_function,
