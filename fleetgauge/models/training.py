@@ -31,6 +31,10 @@ class Search:
     metric: str
     score: float
     scores: dict[str, float] = field(default_factory=dict)
+    trials: list[tuple] = field(default_factory=list)
+
+
+TRIAL = "trial int, family string, parameters string, metric string, score double, seconds double"
 
 
 def candidates(target: str, families: tuple[str, ...]) -> dict[str, tuple[Estimator, list[dict]]]:
@@ -73,12 +77,16 @@ def train_sensor_model(
     seed: int = 1,
     parallelism: int = 4,
     timeout_minutes: float | None = None,
+    search_rows: int = 2_000_000,
+    trials_path: str | None = None,
 ) -> Search:
     """Fit each family over its grid and keep the best on held-out rows.
 
     Features are the given ones, or every column but the target and
-    ``exclude``. All trials share one split, cached while they are fitted;
-    only the winner is fitted again, on all rows. Past ``timeout_minutes`` no
+    ``exclude``. All trials share one split of about ``search_rows`` rows at
+    most, drawn evenly and cached while they are fitted; only the winner is
+    fitted again, on all rows. ``trials_path`` is a folder for the table of
+    trials, one without a score having been cut off. Past ``timeout_minutes`` no
     further trial starts; the first one always runs.
     """
     if features is None:
@@ -93,27 +101,44 @@ def train_sensor_model(
         for family, (estimator, grid) in candidates(target, families).items()
         for params in grid
     ]
-    drawn = rows.withColumn("_drawn", F.rand(seed)).persist(StorageLevel.MEMORY_AND_DISK)
+    share = min(1.0, search_rows / max(rows.count(), 1))
+    searched = rows.sample(share, seed) if share < 1 else rows
+    drawn = searched.withColumn("_drawn", F.rand(seed)).persist(StorageLevel.MEMORY_AND_DISK)
     train = drawn.where(F.col("_drawn") < train_ratio)
     held_out = drawn.where(F.col("_drawn") >= train_ratio)
 
     @inheritable_thread_target(df.sparkSession)
-    def attempt(number: int) -> float | None:
-        if number > 0 and time.monotonic() > deadline:
-            return None
+    def attempt(number: int) -> tuple[float | None, float]:
+        begun = time.monotonic()
+        if number > 0 and begun > deadline:
+            return None, 0.0
         _, chain, params = trials[number]
-        return evaluator.evaluate(chain.fit(train, params).transform(held_out))
+        value = evaluator.evaluate(chain.fit(train, params).transform(held_out))
+        return value, time.monotonic() - begun
 
     try:
         with ThreadPool(parallelism) as pool:
-            values = pool.map(attempt, range(len(trials)), chunksize=1)
+            results = pool.map(attempt, range(len(trials)), chunksize=1)
     finally:
         drawn.unpersist()
 
+    values = [value for value, _ in results]
+    table = [
+        (
+            number,
+            family,
+            ", ".join(f"{p.name}={v}" for p, v in sorted(params.items(), key=lambda x: x[0].name)),
+            metric,
+            *results[number],
+        )
+        for number, (family, _, params) in enumerate(trials)
+    ]
+    if trials_path:
+        df.sparkSession.createDataFrame(table, TRIAL).coalesce(1).write.mode("overwrite").parquet(trials_path)
     done = [number for number, value in enumerate(values) if value is not None]
     scores: dict[str, float] = {}
     for number in done:
         family = trials[number][0]
         scores[family] = better(scores.get(family, values[number]), values[number])
     family, chain, params = trials[better(done, key=lambda number: values[number])]
-    return Search(chain.fit(rows, params), family, metric, scores[family], scores)
+    return Search(chain.fit(rows, params), family, metric, scores[family], scores, table)

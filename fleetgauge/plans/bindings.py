@@ -108,8 +108,10 @@ class Replayed:
     max_files: int
 
 
-def replayed(df: DataFrame, sf_dir: str, source: str, fmt: str = "parquet") -> Replayed:
-    """Replay readings into files of about 1 GB, at least eight.
+def replayed(
+    df: DataFrame, sf_dir: str, source: str, fmt: str = "parquet", order: str = "datetime"
+) -> Replayed:
+    """Replay readings, in the order of a column, into files of about 1 GB, at least eight.
 
     A micro-batch takes as many files as keep the cores busy, but no more
     than a quarter of them, so that there are several batches at any size.
@@ -118,7 +120,7 @@ def replayed(df: DataFrame, sf_dir: str, source: str, fmt: str = "parquet") -> R
     size = storage.total_bytes(spark, f"{sf_dir}/{source}.parquet")
     slices = max(8, min(math.ceil(size / 2**30), MOST_PARTITIONS))
     path = fresh_path(spark, f"replay-{source}")
-    files = replay_files(df, path, "datetime", slices, fmt)
+    files = replay_files(df, path, order, slices, fmt)
     cores = spark.sparkContext.defaultParallelism
     per_batch = max(1, min(math.ceil(len(files) / 4), 4 * cores))
     return Replayed(path, df.schema, per_batch)

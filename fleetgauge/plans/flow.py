@@ -8,6 +8,7 @@ streamed table with rules stores its counts, see :mod:`fleetgauge.sinks.ledger`.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from graphlib import TopologicalSorter
@@ -106,6 +107,23 @@ class Flow:
         pairs = [(n.name, p) for n in self.nodes.values() for p in n.parents]
         return self.spark.createDataFrame(pairs, "child string, parent string")
 
+    def ancestry(self) -> DataFrame:
+        """(child, ancestor, depth): all that a definition is made of, at any distance."""
+        view = f"lineage_{uuid.uuid4().hex}"
+        self.lineage().createOrReplaceTempView(view)
+        return self.spark.sql(
+            f"""
+            WITH RECURSIVE above (child, ancestor, depth) AS (
+                SELECT child, parent, 1 FROM {view}
+                UNION ALL
+                SELECT a.child, l.parent, a.depth + 1
+                FROM above a JOIN {view} l ON l.child = a.ancestor
+                WHERE a.depth < {len(self.nodes)}
+            )
+            SELECT DISTINCT child, ancestor, depth FROM above
+            """
+        )
+
     def run(self, wait: bool = True) -> None:
         """Build every definition; with ``wait``, drain each stream in turn.
 

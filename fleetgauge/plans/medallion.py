@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetgauge import storage
@@ -19,6 +20,7 @@ from fleetgauge.session import stateful_session, stored, widen_shuffles
 from fleetgauge.settings import Settings
 from fleetgauge.sinks.tables import stream_to_path
 from fleetgauge.sources.files import stream_files
+from fleetgauge.streaming.late import start_late_silver
 from fleetgauge.streaming.layers import start_alerts_log, start_gold
 from fleetgauge.streaming.runner import drain, start_in_pool
 
@@ -64,8 +66,8 @@ def stream_layers(
     spark: SparkSession,
     settings: Settings,
     bronze: DataFrame,
-    devices: DataFrame,
-    dates: DataFrame,
+    devices: DataFrame | Callable[[], DataFrame],
+    dates: DataFrame | Callable[[], DataFrame],
     thresholds: DataFrame,
     scorer: Scorer | None = None,
     sensors: tuple[str, ...] = SENSORS,
@@ -77,6 +79,10 @@ def stream_layers(
     otherwise all run side by side in the pools of the settings. Gold is
     append mode, so alerts hold one row per closed window. A fifth query stores
     the readings of unknown devices, as they came, in ``silver_unmatched``.
+
+    With a function in place of ``devices``, the dimension is read anew for
+    every batch of silver, and readings of devices that come later are joined
+    then; see :mod:`fleetgauge.streaming.late`, which also keeps what waits.
     """
     stateful = stateful_session(spark)
     drained = settings.trigger == "availableNow"
@@ -109,9 +115,23 @@ def stream_layers(
         }
 
     run("bronze", lambda: stream_to_path(bronze, **places("bronze")))
-    silver = enrich(source(spark, "bronze", bronze.schema), devices, dates, scorer, sensors)
-    run("silver", lambda: stream_to_path(silver, **places("silver")))
-    silver_rows = source(stateful, "silver", silver.schema)
+    live = callable(devices)
+    known_dates = dates() if callable(dates) else dates
+    silver = enrich(
+        source(spark, "bronze", bronze.schema), devices() if live else devices, known_dates, scorer, sensors
+    )
+    schema = silver.schema
+    if live:
+        rows = source(spark, "bronze", bronze.schema)
+        load_dates = dates if callable(dates) else lambda: dates
+        run(
+            "silver",
+            lambda: start_late_silver(rows, devices, load_dates, scorer=scorer, sensors=sensors, **places("silver")),
+        )
+        schema = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    else:
+        run("silver", lambda: stream_to_path(silver, **places("silver")))
+    silver_rows = source(stateful, "silver", schema).drop("batch_id")
     gold_schema = window_averages(silver_rows, sensors, settings.window).schema
     run(
         "gold",
@@ -126,6 +146,7 @@ def stream_layers(
     )
     closed = source(spark, "gold", gold_schema)
     run("alerts", lambda: start_alerts_log(closed, thresholds, measure=measure, **places("alerts")))
-    unmatched = unknown_devices(source(spark, "bronze", bronze.schema), devices)
-    run("silver_unmatched", lambda: stream_to_path(unmatched, **places("silver_unmatched")))
+    if not live:
+        unmatched = unknown_devices(source(spark, "bronze", bronze.schema), devices)
+        run("silver_unmatched", lambda: stream_to_path(unmatched, **places("silver_unmatched")))
     return queries

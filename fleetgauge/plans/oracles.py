@@ -160,6 +160,11 @@ _METRICS = f"""WITH {SILVER}, totals AS (
 
 ORACLES: dict[str, str] = {
     "alerts_current": _ALERTS,
+    "alerts_early": f"""WITH {LIMITS}
+SELECT window_start, window_end, deviceName, {LIMIT}
+FROM gold JOIN limits USING (deviceName) WHERE sensor1_avg > Threshold""",
+    "arrival_stamped": f"WITH {READINGS} SELECT device, sensor1, sensor2, true AS stamped_in_run FROM readings",
+    "bi_dates": DIM_DATE.replace("l_shipdate", "ts").replace("lineitem", "events"),
     "alerts_ordered": _ALERTS + " ORDER BY deviceName",
     # Layers in append mode: only windows the watermark has closed.
     "alerts_stream": _ALERTS
@@ -186,10 +191,27 @@ FROM silver GROUP BY ALL""",
     "compact_table": _READINGS,
     "csv_reference_load": _DEVICES,
     "device_count": f"WITH {GOLD} SELECT count(DISTINCT deviceName) AS device_count FROM gold",
+    "device_count_stream": f"WITH {GOLD} SELECT count(DISTINCT deviceName) AS device_count FROM gold",
     "device_drilldown": _READINGS + " WHERE device = 8",
     "dim_date": DIM_DATE,
     "envelope_roundtrip": "SELECT * FROM events",
     "expectation_metrics": _METRICS + " SELECT * FROM counted",
+    "flow_lineage": f"""WITH RECURSIVE {SILVER}, parents (child, parent) AS (
+  VALUES ('bronze', 'raw'), ('silver', 'device_info'), ('silver', 'dim_date'), ('silver', 'bronze'),
+         ('busy_hours', 'silver')
+), above AS (
+  SELECT child, parent AS ancestor, 1 AS depth FROM parents
+  UNION ALL
+  SELECT above.child, parent, depth + 1 FROM above JOIN parents ON parents.child = ancestor
+), hours AS (
+  SELECT location, count(*) AS readings FROM silver WHERE {AWAKE} GROUP BY location, hourOfDay
+), counts AS (
+  SELECT 'bronze' AS ancestor, count(*) AS ancestor_rows FROM events
+  UNION ALL SELECT 'silver', count(*) FROM silver WHERE {AWAKE}
+  UNION ALL SELECT 'busy_hours', count(*) FROM (
+    SELECT * FROM hours QUALIFY readings = max(readings) OVER (PARTITION BY location))
+)
+SELECT child, ancestor, depth, ancestor_rows FROM above LEFT JOIN counts USING (ancestor)""",
     "flow_quality": _METRICS + " SELECT rule, passed, failed, nulls FROM counted",
     "flow_silver": _SILVER + f" WHERE {AWAKE}",
     "flow_busy_hours": f"""WITH {SILVER}, hours AS (
@@ -200,6 +222,7 @@ QUALIFY readings = max(readings) OVER (PARTITION BY location)""",
     "gold_additive_stream": _GOLD,
     "gold_closed_windows": _GOLD
     + " WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '1 minute'",
+    "gold_corrected": _GOLD,
     "gold_window_batch": _GOLD,
     "gold_window_stream": _GOLD,
     "json_batch_scan": _READINGS,
@@ -228,10 +251,13 @@ FROM events""",
     "model_registered_function": _least_squares(),
     "model_score_linear": f"WITH {ITEMS} "
     + _scored(PREDICTION),
+    "model_search": f"""WITH {ITEMS} SELECT l_orderkey, l_partkey, device,
+       {_round(PREDICTION, 4)} AS "sensor5Prediction" FROM items""",
     "model_stream_score": _least_squares(),
     "sensor_wide_windows": f"WITH {WIDE_GOLD} SELECT {WIDE_COLUMNS} FROM gold",
     "silver_enriched": _SILVER,
     "silver_expect_drop": _SILVER + f" WHERE {AWAKE}",
+    "silver_late_device": _SILVER,
     "silver_refreshed_stream": _SILVER,
     "silver_rejected": f"WITH {SILVER} SELECT {SILVER_COLUMNS}, 'awake' AS broken "
     f"FROM silver WHERE NOT ({AWAKE})",
@@ -252,6 +278,10 @@ FROM lineitem""",
     "threshold_statistics": f"""WITH {GOLD}
 SELECT deviceName AS "deviceName", {_round("avg(sensor1_avg)")} AS "sensor1_Avg",
        {_round("max(sensor1_avg)")} AS "sensor1_Max", {_round("stddev(sensor1_avg)")} AS "sensor1_Std"
+FROM gold GROUP BY deviceName""",
+    "threshold_statistics_stream": f"""WITH {GOLD}
+SELECT deviceName AS "deviceName", {_round("avg(sensor1_avg)")} AS "sensor1_Avg",
+       {_round("max(sensor1_avg)")} AS "sensor1_Max", {_round("stddev(sensor1_avg)")} AS "sensor1_Std"
 FROM gold GROUP BY deviceName""",
     "thresholds": f"""WITH {LIMITS}
 SELECT deviceName AS "deviceName", {LIMIT} FROM limits""",

@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +50,9 @@ from fleetgauge.sources.files import (
     stream_files,
 )
 from fleetgauge.sources.tables import stream_table
+from fleetgauge.streaming.corrected import read_corrected_gold, start_corrected_gold
+from fleetgauge.streaming.early import standing_alerts, start_early_alerts_log
+from fleetgauge.streaming.late import start_late_silver
 from fleetgauge.streaming.layers import (
     read_additive_gold,
     start_gold,
@@ -56,6 +60,12 @@ from fleetgauge.streaming.layers import (
 )
 from fleetgauge.streaming.replay import replay_files
 from fleetgauge.streaming.runner import drain
+from fleetgauge.streaming.summaries import (
+    read_distinct_count,
+    read_statistics,
+    start_distinct_count,
+    start_moments,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -319,6 +329,44 @@ def silver_refreshed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.wall_clock(read_all(spark, settings.data_path("silver")).drop("batch_id"))
 
 
+def silver_late_device(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver where the devices of half the nations are known only after half the readings."""
+    events = b.event_readings(spark, sf_dir)
+    devices, place = b.event_devices(spark, sf_dir), fresh_path(spark, "devices")
+    settings, folder = _settings(spark, "late"), fresh_path(spark, "late-readings")
+    even = F.pmod(F.xxhash64("datetime"), F.lit(2)) == 0
+    known = F.pmod(F.xxhash64("location"), F.lit(2)) == 0
+    for rows, found in ((even, known), (~even, ~known)):
+        replay_files(events.where(rows), folder, "datetime", 8, "parquet")
+        devices.where(found).write.mode("append").parquet(place)
+        drain(
+            start_late_silver(
+                stream_files(spark, folder, events.schema, "parquet", 3),
+                lambda: spark.read.schema(devices.schema).parquet(place),
+                lambda: b.event_dates(spark, sf_dir),
+                settings.data_path("silver"),
+                settings.checkpoint_path("silver"),
+                sensors=b.EVENT_SENSORS,
+                trigger=settings.trigger,
+            )
+        )
+    return b.wall_clock(spark.read.parquet(settings.data_path("silver")).drop("batch_id"))
+
+
+def arrival_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingest that stamps each reading with the time of its micro-batch."""
+    source = b.replayed(b.event_readings(spark, sf_dir), sf_dir, "events", "json")
+    out, begun = fresh_path(spark, "stamped"), dt.datetime.now(dt.timezone.utc)
+    rows = ingest_files(
+        spark, source.path, source.schema, max_files=source.max_files, stamp="arrival"
+    )
+    drain(stream_to_path(rows, out, fresh_path(spark, "cp"), trigger="availableNow"))
+    ended = dt.datetime.now(dt.timezone.utc)
+    within = F.col("datetime").between(F.lit(begun), F.lit(ended))
+    found = spark.read.schema(rows.schema).parquet(out)
+    return found.select("device", *b.EVENT_SENSORS, within.alias("stamped_in_run"))
+
+
 # Quality
 
 
@@ -385,9 +433,60 @@ def gold_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _present(spark.read.parquet(path))
 
 
+def gold_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed windows and the corrections to them, after a replay in no order of time."""
+    mixed = _event_silver(spark, sf_dir).withColumn("mixed", F.xxhash64("datetime", "device"))
+    source = b.replayed(mixed, sf_dir, "events", order="mixed")
+    settings = _settings(spark, "corrected")
+    drain(
+        start_corrected_gold(
+            stream_files(spark, source.path, source.schema, "parquet", source.max_files),
+            settings.data_path("gold"),
+            settings.checkpoint_path("gold"),
+            b.EVENT_SENSORS,
+            trigger=settings.trigger,
+        )
+    )
+    return _present(read_corrected_gold(spark, settings.data_path("gold"), b.EVENT_SENSORS))
+
+
+def device_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct devices from the sketches of each micro-batch."""
+    source = b.replayed(_event_silver(spark, sf_dir), sf_dir, "events")
+    out = fresh_path(spark, "sketches")
+    rows = stream_files(spark, source.path, source.schema, "parquet", source.max_files)
+    cp = fresh_path(spark, "cp")
+    drain(start_distinct_count(rows, "deviceName", out, cp, trigger="availableNow"))
+    return read_distinct_count(spark, out, "device_count")
+
+
 # Thresholds and alerts
 
 
+def threshold_statistics_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean, maximum and deviation from moments that each batch of windows stored."""
+    source = b.replayed(_event_gold(spark, sf_dir), sf_dir, "events", order="window.start")
+    out = fresh_path(spark, "moments")
+    rows = stream_files(spark, source.path, source.schema, "parquet", source.max_files)
+    drain(start_moments(rows, MEASURE, out, fresh_path(spark, "cp"), trigger="availableNow"))
+    found = read_statistics(spark, out, MEASURE)
+    return b.rounded(found, "sensor1_Avg", "sensor1_Max", "sensor1_Std")
+
+
+def alerts_early(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows on which an alert stands, raised while they were open."""
+    source = b.replayed(_event_silver(spark, sf_dir), sf_dir, "events")
+    limits = stored(derive_thresholds(_event_gold(spark, sf_dir), measure=MEASURE), "thresholds")
+    rows = stream_files(
+        stateful_session(spark), source.path, source.schema, "parquet", source.max_files
+    )
+    settings = _settings(spark, "early")
+    places = settings.data_path("events"), settings.checkpoint_path("events")
+    drain(start_early_alerts_log(rows, limits, *places, MEASURE, trigger="availableNow"))
+    found = standing_alerts(spark.read.parquet(places[0]))
+    return _present(found.select("start", "end", "deviceName", "Threshold"))
+
+
 def threshold_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = device_statistics(_event_gold(spark, sf_dir), MEASURE)
     return b.rounded(found, "sensor1_Avg", "sensor1_Max", "sensor1_Std")
@@ -533,10 +632,13 @@ def model_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Search over three families and score every row with the winner."""
-    readings = b.item_readings(spark, sf_dir)
-    found = train_sensor_model(readings, features=SENSORS[:4])
-    return _scored_rows(score(readings, found.model))
+    """Search over three families for a rule that is known, and score every row with the winner."""
+    planted = linear_scorer(WEIGHTS, INTERCEPT)(b.item_readings(spark, sf_dir))
+    readings = planted.withColumn("sensor5", F.col("sensor5Prediction")).drop("sensor5Prediction")
+    found = train_sensor_model(
+        readings, features=SENSORS[:4], trials_path=fresh_path(spark, "trials")
+    )
+    return _scored_rows(score(readings, found.model)).drop("sensor5")
 
 
 # Tables and flows
@@ -616,6 +718,19 @@ def flow_busy_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(_silver_flow(spark, sf_dir).settings.table("busy_hours"))
 
 
+def flow_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each definition of the flow is made of, and how many rows that holds."""
+    flow = _silver_flow(spark, sf_dir)
+    counts = [
+        spark.table(flow.settings.table(name)).agg(
+            F.lit(name).alias("ancestor"), F.count("*").alias("ancestor_rows")
+        )
+        for name, node in flow.nodes.items()
+        if node.stored
+    ]
+    return flow.ancestry().join(reduce(DataFrame.unionByName, counts), "ancestor", "left")
+
+
 # Saved queries
 
 
@@ -642,6 +757,10 @@ def bi_sensor_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _saved(spark, sf_dir, "device_info").sensor_reference()
 
 
+def bi_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _saved(spark, sf_dir, "dim_date").date_dimension()
+
+
 def bi_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.wall_clock(_saved(spark, sf_dir, "silver").silver())
 
@@ -685,10 +804,13 @@ def bi_star_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTERED: tuple[Query, ...] = (
     alerts_current,
+    alerts_early,
     alerts_ordered,
     alerts_stream,
     alerts_wide,
+    arrival_stamped,
     bi_alerts,
+    bi_dates,
     bi_device_silver,
     bi_gold,
     bi_sensor_reference,
@@ -699,15 +821,18 @@ REGISTERED: tuple[Query, ...] = (
     compact_table,
     csv_reference_load,
     device_count,
+    device_count_stream,
     device_drilldown,
     dim_date,
     envelope_roundtrip,
     expectation_metrics,
     flow_busy_hours,
+    flow_lineage,
     flow_quality,
     flow_silver,
     gold_additive_stream,
     gold_closed_windows,
+    gold_corrected,
     gold_window_batch,
     gold_window_stream,
     json_batch_scan,
@@ -722,6 +847,7 @@ REGISTERED: tuple[Query, ...] = (
     sensor_wide_windows,
     silver_enriched,
     silver_expect_drop,
+    silver_late_device,
     silver_refreshed_stream,
     silver_rejected,
     silver_scored,
@@ -729,6 +855,7 @@ REGISTERED: tuple[Query, ...] = (
     stream_limit,
     table_statistics,
     threshold_statistics,
+    threshold_statistics_stream,
     thresholds,
     training_table_count,
     silver_unmatched,

@@ -36,6 +36,8 @@ def test_order_and_lineage(spark, settings):
     flow.view("a", lambda s, i: s.range(1))
     assert flow.order() == ["a", "b", "c"]
     assert sorted(tuple(r) for r in flow.lineage().collect()) == [("b", "a"), ("c", "a"), ("c", "b")]
+    above = sorted(tuple(r) for r in flow.ancestry().collect())
+    assert above == [("b", "a", 1), ("c", "a", 1), ("c", "a", 2), ("c", "b", 1)]
     with pytest.raises(ValueError):
         flow.view("a", lambda s, i: s.range(1))
     flow.view("d", lambda s, i: i["x"], reads=("x",))

@@ -45,6 +45,19 @@ def test_search_finds_the_planted_signal(signal):
     assert weights == pytest.approx([2, -1, 0.5, 1], abs=0.01)
 
 
+def test_trials_are_stored_and_the_search_is_bounded(spark, signal, tmp_path):
+    found = train_sensor_model(
+        signal, families=("linear",), search_rows=100, trials_path=str(tmp_path / "trials")
+    )
+    trials = spark.read.parquet(str(tmp_path / "trials")).orderBy("trial").collect()
+    assert [(t.family, t.parameters, t.metric) for t in trials] == [
+        ("linear", "regParam=0.0", "r2"),
+        ("linear", "regParam=0.1", "r2"),
+    ]
+    assert max(t.score for t in trials) == found.score and found.trials == [tuple(t) for t in trials]
+    assert found.score > 0.99
+
+
 def test_search_by_an_error_metric_takes_the_smallest(signal):
     found = train_sensor_model(
         signal, features=FOUR, metric="rmse", families=("linear", "forest")
