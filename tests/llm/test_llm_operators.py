@@ -83,6 +83,57 @@ def test_components_match_all_pairs(spark, docs):
     assert ngram_join.similar_documents(docs.limit(0)).count() == 0
 
 
+def _linked_components(texts):
+    sets = []
+    for t in texts:
+        w = _words(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 75 * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return [find(i) for i in range(len(sets))], sets
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_cores_with_more_or_less_around_them(spark, seed):
+    """A passage that all have, with own words of every length: most share it, few or many link."""
+    dice = np.random.default_rng(seed)
+    core = [" ".join(f"c{k}w{i}" for i in range(60)) for k in range(3)]
+    texts = []
+    for i in range(240):
+        own = lambda n: " ".join(f"o{i}x{j}" for j in range(n))
+        size = int(dice.integers(0, 30))
+        texts.append(f"{own(size)} {core[i % 3]} {own(size // 3)}" if i % 4 else f"{core[0]} {own(size)} {core[1]}")
+    texts += [texts[0]] * 3 + [texts[5] + " tail"] * 2
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    expected, sets = _linked_components(texts)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similar_documents(docs).collect()}
+    assert got == {i: (len(sets[i]), expected[i]) for i in range(len(texts))}
+
+
+def test_one_row_of_each_component_stays(spark):
+    schema = "doc_id long, text string, _name string, mark int"
+    rows = [(1, BASE), (1, BASE.upper()), (2, BASE + " x"), (1, "quite another text of six words"), (None, BASE)]
+    rows += [(None, None), (3, None), (3, " "), (4, ""), (None, "unknown text with five words"), (None, "unknown text with five words")]
+    docs = spark.createDataFrame([(i, t, "n", 0) for i, t in rows], schema)
+    kept = sorted(str((r.doc_id, r.text)) for r in ngram_join.keep_one_of_each(docs).collect())
+    one = [t for t in (BASE, BASE.upper()) if str((1, t)) in kept]
+    assert len(one) == 1
+    left = [(1, one[0]), (1, rows[3][1]), (None, None), (3, None), (3, " "), (4, ""), (None, rows[9][1])]
+    assert kept == sorted(str(r) for r in left)
+    assert ngram_join.keep_one_of_each(docs.limit(0)).collect() == []
+
+
 def test_statistics_match_plain_counts(docs, labels):
     for r in quality_rules.text_statistics(docs.select("doc_id", "text")).collect():
         w = _words(r.text)
