@@ -51,7 +51,7 @@ WORDS = 5
 GROUP = 64
 KEYS = 8
 BUCKET_TOKENS = 2_000_000
-DEAL_BYTES = 12 << 20
+DEAL_BYTES = 8 << 20
 SAMPLE_SETS = 4096
 OPEN_BITS = 1 << 27
 COMMON_TOKENS = 1 << 20
@@ -138,10 +138,12 @@ def _deal(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Record
         ]
         if tokens:
             own_sigs = np.fromiter(first, np.int64, len(first))
-            owner = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
+            owner = np.repeat(np.arange(len(tokens), dtype=np.int32), [len(t) for t in tokens])
             flat = np.concatenate(tokens)
+            tokens.clear()
             order = np.argsort(flat, kind="stable")
             flat, owner = flat[order], owner[order]
+            del order
             starts, lengths = _runs(flat)
             shared = np.repeat(lengths > 1, lengths)
             counts = np.bincount(owner[shared], minlength=len(own_sigs)).astype(np.int64)
@@ -156,8 +158,9 @@ def _deal(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Record
                     known=np.zeros(1, bool),
                 )
             )
-            place = np.arange(len(flat)) - np.repeat(starts, lengths)
-            keep = place < 2
+            keep = np.zeros(len(flat), bool)
+            keep[starts] = True
+            keep[starts[lengths > 1] + 1] = True
             flat, owner, shared = flat[keep], owner[keep], shared[keep]
             bucket = ((flat >> _U(32)) * _U(buckets)) >> _U(32)
             cuts = np.searchsorted(bucket, np.arange(buckets + 1))
@@ -209,7 +212,7 @@ def _counted(table: pa.Table) -> pa.Table:
             sigs, counts, of = owner[starts], np.diff(np.r_[starts, len(owner)]), origin[starts]
             edges = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
             for a, b in zip(edges, np.r_[edges[1:], len(of)]):
-                out.append(_packed(0, int(of[a]), sigs=sigs[a:b], sizes=counts[a:b].astype(np.int64)))
+                out.append(_packed(0, int(of[a]), sigs=sigs[a:b], sizes=counts[a:b].astype(np.uint32)))
     schema = pa.schema(list(_PACKED)[1:])
     return pa.Table.from_pylist(out, schema)
 
@@ -221,13 +224,14 @@ def _summed(table: pa.Table) -> pa.Table:
     """Rows of a batch's documents, and of each of its sets the number of shared shingles."""
     out, sigs, counts = [], [], []
     for row in table.to_pylist():
-        own, sizes = (np.frombuffer(row[k], np.int64) for k in ("sigs", "sizes"))
-        if row["doc_ids"] is None and row["known"] is not None:
-            out.append(pa.table({"sig": own, "local": sizes}))
+        own = np.frombuffer(row["sigs"], np.int64)
+        if row["known"] is None:
+            sigs.append(own)
+            counts.append(np.frombuffer(row["sizes"], np.uint32))
             continue
+        sizes = np.frombuffer(row["sizes"], np.int64)
         if row["doc_ids"] is None:
-            sigs.append(own)
-            counts.append(sizes)
+            out.append(pa.table({"sig": own, "local": sizes}))
             continue
         ids = np.frombuffer(row["doc_ids"], np.int64)
         known = np.frombuffer(row["known"], bool)
