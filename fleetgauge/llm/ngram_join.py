@@ -7,9 +7,9 @@ the graph in which two sets link when 100 * |A and B| >= 75 * |A or B|:
    three quarters of its shingles with any other set can't link: the union of
    all others is the first, widest group whose overlap is bounded. The number
    of shared shingles also bounds the size of any partner, its reach.
-2. Sets that remain are linked, where the exact similarity allows, with the
-   smallest set that agrees with them in most of their MinHash values, and so
-   fall into components of similar sets.
+2. Sets that remain are linked, where the exact similarity allows, with the set
+   of the widest reach that agrees with them in most of their MinHash values,
+   and so fall into components of similar sets.
 3. Components are cut into groups of at most about ``GROUP`` sets. The matrix
    of shingles and groups is probed with the rarest quarter of each set's
    shingles; one of them must lie in any group with a partner. A set leaves the
@@ -320,23 +320,25 @@ def _within_reach(a: str, b: str) -> str:
 def _leader_links(sets: DataFrame) -> DataFrame:
     """Links of sets with one that agrees with them in MinHash values.
 
-    The smallest set of those with a value leads: with a common core, it has
-    least beyond the core and so is closest to all. Of its leaders, a set is
-    compared with the one that leads most of its values.
+    The set of the widest reach leads those with a value: it has least that
+    no other set has, and so is closest to all that share its core. Of its
+    leaders, a set is compared with the one that leads most of its values.
     """
     keyed = sets.select("sig", "n", "reach", F.posexplode("keys").alias("k", "value"))
     leaders = keyed.groupBy("k", "value").agg(
-        F.min(F.struct("n", "sig", "reach")).alias("first"), F.count("*").alias("size")
+        F.max(F.struct("reach", (-F.col("n")).alias("less"), "sig")).alias("first"), F.count("*").alias("size")
+    )
+    leaders = leaders.where("size > 1").select(
+        "k", "value", "first.sig", "first.reach", (-F.col("first.less")).alias("n")
     )
-    leaders = leaders.where("size > 1").select("k", "value", "first.*")
     pairs = (
         keyed.alias("x")
         .join(leaders.alias("y"), ["k", "value"])
         .where(f"x.sig <> y.sig AND {_within_reach('x', 'y')}")
-        .groupBy(F.col("x.sig").alias("a"), F.col("y.sig").alias("b"))
+        .groupBy(F.col("x.sig").alias("a"), F.col("y.sig").alias("b"), F.col("y.reach").alias("reach"))
         .agg(F.count("*").alias("agreed"))
     )
-    best = pairs.groupBy("a").agg(F.max_by("b", F.struct("agreed", "b")).alias("b"))
+    best = pairs.groupBy("a").agg(F.max_by("b", F.struct("agreed", "reach", "b")).alias("b"))
     return _verified(best, sets)
 
 
