@@ -384,7 +384,7 @@ def _prefixes(sets: DataFrame) -> DataFrame:
             )
 
     cuts = sets.select("sig", "tokens").mapInArrow(cut, "sig long, prefix array<long>")
-    return cuts.select("sig", F.explode("prefix").alias("token"))
+    return cuts.select("sig", F.posexplode("prefix").alias("before", "token"))
 
 
 def _grouped(sets: DataFrame, roots: DataFrame) -> DataFrame:
@@ -412,6 +412,9 @@ def _with_strangers(probes: DataFrame) -> DataFrame:
 def _opened_links(sets: DataFrame, placed: DataFrame, scratch: Scratch) -> DataFrame:
     """Links between sets of different components, as components a and b."""
     probes = _prefixes(sets).join(placed, "sig")
+    # If this is the rarest shingle of both, they share no more than what follows it.
+    here = F.floor((4 * F.col("n") - 7 * F.col("before")) / 3)
+    probes = probes.withColumn("reach", F.least("reach", here)).drop("before")
     # What the first round takes away may have been all that kept others.
     probes = scratch.keep("probes", _with_strangers(probes))
     probes = scratch.keep("near-probes", _with_strangers(probes), replaces="probes")
