@@ -216,8 +216,8 @@ def held_out_identification(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, least: float = 0.3) -> DataFrame:
-    """The documents of which one language has at least ``least`` of the text."""
-    model = learn(docs.where(remainder("doc_id", 3) != 1))
+    """The documents of which one language has at least ``least`` of the text, learned from all of them."""
+    model = learn(docs)
     rows = docs.select(F.struct(*docs.columns).alias("_row"), "text")
     sure = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)
     return identify(rows, model).where(sure).select("_row.*")
