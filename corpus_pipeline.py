@@ -1,6 +1,13 @@
 """From documents to token ids: rules, language, copies, mixture, encoding.
 
 Every stage takes all that the one before it kept, as written to the shared folder.
+
+Defined results: documents that are null or without letters go with the rules or the
+language. Near copies are told apart by id and text, so texts of one id that differ
+both stay, and of equal rows one does. The order of rows is lost when a table is read
+again; the mixture's schedule follows from the documents alone, so the last stage
+works it out again and returns each document's slot and its place in that slot. An
+empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -36,9 +43,9 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def encoded_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Id, source and token ids of each document."""
-    coded = sentencepiece_codec.encode(docs, public_tokenizers.path(PIECES))
-    return coded.select("doc_id", "source", "ids")
+    """Id, source, slot and place in the mixture, and token ids of each document."""
+    coded = sentencepiece_codec.encode(mixing.placed(docs), public_tokenizers.path(PIECES))
+    return coded.select("doc_id", "source", "slot", "place", "ids")
 
 
 STAGES = [
