@@ -1,15 +1,21 @@
 """URL filter: rules first, else the reputation of the host by empirical Bayes.
 
-Labelled pages are counted by host, registered domain (the last two names) and
-suffix (the last one). The rate of bad pages of a suffix is shrunk towards that
-of all pages, a domain's towards its suffix's and a host's towards its
-domain's, each by a beta prior whose strength is estimated by the method of
-moments from how much the children of that level differ. A host is blocked if
-even the lower posterior bound of its rate exceeds ``BLOCK_RATE``.
+Labelled pages are counted by host, registered domain and suffix. The suffix is the
+last name, or the last two of a country's commercial and similar zones (``co.uk``); the
+domain has one name more. An address is a domain by itself, and all addresses share a
+suffix. User names and ports belong to no level.
+The rate of bad pages of a suffix is shrunk towards that of all pages, a domain's
+towards its suffix's and a host's towards its domain's, each by a beta prior whose
+strength is estimated by the method of moments from how much the children of that level
+differ. A page is blocked if even the lower posterior bound of its host (without
+labels: of its domain, else of its suffix) exceeds the limit: ``EXCESS`` times the rate
+of all labelled pages, but no more than halfway from there to 1. What counts as bad
+differs between tables, so the limit follows the table.
 
 Defined results: a null url, or one without ``://``, has an empty host and path and
 no rule; an empty host is a host like any other. Without labels nothing is blocked
-but by rule. Repeated pages are judged each; other columns are not read.
+but by rule; where hosts differ by no more than chance, they all keep about the rate of
+all pages and nothing is. Repeated pages are judged each; other columns are not read.
 """
 
 from __future__ import annotations
@@ -17,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetgauge.session import stored
+
 #: Host, path and verdict of the fixed rules. The longest that fits wins.
 RULES = (
     ("net", "/", "block"),
@@ -24,9 +32,11 @@ RULES = (
     ("example.com", "/de/", "block"),
     ("org", "/fr/", "allow"),
 )
-BLOCK_RATE = 0.5
+EXCESS = 1.5
 DEVIATIONS = 1.645
 STRENGTHS = (1.0, 1000.0)
+#: Names below a country's that are open to registration.
+ZONES = "ac|co|com|edu|gov|net|or|org"
 
 
 def split_url(urls: DataFrame) -> DataFrame:
@@ -56,10 +66,18 @@ def rule_and_verdict(rules=RULES) -> tuple[Column, Column]:
 
 
 def _levels(rows: DataFrame) -> DataFrame:
-    return rows.withColumns(
+    """Add name (the host without user, port and last dot), domain and suffix."""
+    bare = F.regexp_replace(F.substring_index("host", "@", -1), r"\.?(:[0-9]*)?$", "")
+    address = F.col("name").rlike(r"^([0-9]{1,3}(\.[0-9]{1,3}){3}|\[.*\]?)$")
+    zone = F.col("name").rlike(rf"(^|\.)({ZONES})\.[a-z]{{2}}$")
+    return rows.withColumn("name", bare).withColumns(
         {
-            "domain": F.substring_index("host", ".", -2),
-            "suffix": F.substring_index("host", ".", -1),
+            "domain": F.when(address, F.col("name"))
+            .when(zone, F.substring_index("name", ".", -3))
+            .otherwise(F.substring_index("name", ".", -2)),
+            "suffix": F.when(address, "address")
+            .when(zone, F.substring_index("name", ".", -2))
+            .otherwise(F.substring_index("name", ".", -1)),
         }
     )
 
@@ -94,32 +112,29 @@ def _with_prior(children: DataFrame, parents: DataFrame, parent: str) -> DataFra
 
 
 def reputations(outcomes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Posterior rate and weight by host, domain, suffix and overall.
+    """Posterior rate and weight by name, domain, suffix and overall.
 
     ``outcomes`` has host and bad (boolean). Counts are combined before the
-    shuffle, so a hot host costs a row per task.
+    shuffle, so a hot host costs a row per task. Each level is stored, as the one below
+    it needs its rates twice.
     """
-    counts = _levels(
-        outcomes.where("bad IS NOT NULL")
-        .groupBy("host")
-        .agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"))
-    )
+    seen = outcomes.where("bad IS NOT NULL")
+    tallies = (F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"))
+    by_host = _levels(seen.groupBy("host").agg(*tallies))
 
     def total(of: DataFrame, *keys: str) -> DataFrame:
         return of.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
 
-    domains = total(counts, "domain", "suffix")
-    suffixes = total(counts, "suffix").withColumn("all", F.lit("all"))
+    names = stored(total(by_host, "name", "domain", "suffix"), "url-names")
     overall = (
-        total(counts)
+        total(names)
         .where("n > 0")
         .select(F.lit("all").alias("all"), ((F.col("bad") + 1) / (F.col("n") + 2)).alias("rate"))
-        .withColumn("weight", F.lit(STRENGTHS[0]))
     )
-    suffixes = _with_prior(suffixes, overall, "all")
-    domains = _with_prior(domains, suffixes, "suffix")
-    hosts = _with_prior(counts, domains, "domain")
-    return hosts, domains, suffixes, overall
+    overall = stored(overall, "url-overall")
+    suffixes = stored(_with_prior(total(names, "suffix").withColumn("all", F.lit("all")), overall, "all"), "url-suffixes")
+    domains = stored(_with_prior(total(names, "domain", "suffix"), suffixes, "suffix"), "url-domains")
+    return stored(_with_prior(names, domains, "domain"), "url-hosts"), domains, suffixes, overall
 
 
 def lower_bound(rate: Column, weight: Column) -> Column:
@@ -127,6 +142,22 @@ def lower_bound(rate: Column, weight: Column) -> Column:
     return rate - DEVIATIONS * F.sqrt(rate * (1 - rate) / (weight + 1))
 
 
+def judged_names(names: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """The names with the method's verdict, from the lowest level that has labels.
+
+    ``names`` has name, domain and suffix, each name once.
+    """
+    hosts, domains, suffixes, overall = reputations(outcomes)
+    limit = F.least(EXCESS * F.col("rate"), (1 + F.col("rate")) / 2)
+    known = names
+    for level, key in ((hosts, "name"), (domains, "domain"), (suffixes, "suffix")):
+        bound = lower_bound(F.col("rate"), F.col("weight")).alias(f"_{key}")
+        known = known.join(level.select(key, bound), key, "left")
+    known = known.join(F.broadcast(overall.select(limit.alias("_limit"))), how="left")
+    worst = F.coalesce("_name", "_domain", "_suffix") > F.col("_limit")
+    return known.select("name", F.when(worst, "block").otherwise("allow").alias("_method"))
+
+
 def judge_urls(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
     """page_id, host, path, rule and verdict of every page.
 
@@ -134,18 +165,9 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
     """
     rule, verdict = rule_and_verdict()
     split = _levels(split_url(pages.select("page_id", "url")))
-    hosts, domains, suffixes, _ = reputations(outcomes)
-
-    def blocked(level: DataFrame, key: str) -> DataFrame:
-        worst = lower_bound(F.col("rate"), F.col("weight")) > BLOCK_RATE
-        return level.select(key, F.when(worst, "block").otherwise("allow").alias(f"_{key}"))
-
-    known = split
-    for level, key in ((hosts, "host"), (domains, "domain"), (suffixes, "suffix")):
-        known = known.join(blocked(level, key), key, "left")
-    by_method = F.coalesce("_host", "_domain", "_suffix", F.lit("allow"))
-    return known.select(
-        "page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, by_method).alias("verdict")
+    names = judged_names(split.select("name", "domain", "suffix").distinct(), outcomes)
+    return split.join(names, "name", "left").select(
+        "page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, "_method").alias("verdict")
     )
 
 
