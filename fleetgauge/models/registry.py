@@ -1,18 +1,27 @@
 """Numbered model versions with stages, kept in a shared folder.
 
 ``<root>/<name>/version=<n>/model`` holds the model. Facts about a version
-are written as revisions of one row; the latest revision counts.
+are written as revisions of one row; the latest revision counts. A stage is served by
+the version that was moved there last, whatever its number.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetgauge import storage
 
 STAGES = ("None", "Staging", "Production", "Archived")
-_FACTS = "name string, version int, stage string, description string, metric string, score double"
+#: Stages that one version holds at a time.
+SERVING = ("Staging", "Production")
+#: moved is when the version got its stage, in ms; null in rows written without it.
+_FACTS = (
+    "name string, version int, stage string, description string, metric string, score double, "
+    "moved long"
+)
 
 
 class ModelRegistry:
@@ -66,6 +75,7 @@ class ModelRegistry:
                 "description": description,
                 "metric": metric,
                 "score": score,
+                "moved": None,
             }
         )
         return version
@@ -80,10 +90,26 @@ class ModelRegistry:
     def describe(self, name: str, version: int, description: str) -> None:
         self._write_facts(self.facts(name, version) | {"description": description})
 
-    def transition(self, name: str, version: int, stage: str) -> None:
+    def transition(self, name: str, version: int, stage: str, retire: bool = True) -> None:
+        """Move a version to a stage; earlier versions of a serving stage are archived.
+
+        The new version is written first, so a stage is never empty. In between, or if
+        the second step fails, ``load`` already takes the new one, as it was moved last.
+        """
         if stage not in STAGES:
             raise ValueError(f"stage is one of {STAGES}, not {stage!r}")
-        self._write_facts(self.facts(name, version) | {"stage": stage})
+        held = self._holders(name, stage) if stage in SERVING else []
+        now = max([int(time.time() * 1000), *(f["moved"] + 1 for f in held if f["moved"])])
+        self._write_facts(self.facts(name, version) | {"stage": stage, "moved": now})
+        for facts in held if retire else ():
+            if facts["version"] != version:
+                self._write_facts(facts | {"stage": "Archived", "moved": now})
+
+    def _holders(self, name: str, stage: str) -> list[dict]:
+        """Versions of a stage, the one moved there last at the end."""
+        found = [self.facts(name, v) for v in self.versions(name)]
+        held = [f for f in found if f["stage"] == stage]
+        return sorted(held, key=lambda f: (f["moved"] or 0, f["version"]))
 
     def listing(self, name: str) -> DataFrame:
         """One row per version."""
@@ -93,10 +119,11 @@ class ModelRegistry:
     def load(
         self, name: str, version: int | None = None, stage: str | None = None
     ) -> PipelineModel:
-        """A version by number, the newest of a stage, or the newest of all."""
+        """A version by number, the one moved to a stage last, or the newest of all."""
         numbers = self.versions(name) if version is None else [version]
         if stage is not None:
-            numbers = [v for v in numbers if self.facts(name, v)["stage"] == stage]
+            held = [f["version"] for f in self._holders(name, stage)]
+            numbers = [v for v in held if v in numbers]
         if not numbers:
             raise LookupError(f"{name} has no version for stage {stage!r}")
         chosen = numbers[-1]

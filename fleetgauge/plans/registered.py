@@ -237,7 +237,7 @@ def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings, as a stream, of devices that a dimension without one nation lacks."""
     events = b.table(spark, sf_dir, "events")
-    rows = b.EVENTS.bind(stream_files(spark, f"{sf_dir}/events*.parquet", events.schema, "parquet"))
+    rows = b.EVENTS.bind(stream_files(spark, f"{sf_dir}/event[s].parquet", events.schema, "parquet"))
     known = b.event_devices(spark, sf_dir).where("location <> 'NATION_3'")
     out = fresh_path(spark, "unmatched")
     lost = unknown_devices(rows, known).select("device", "datetime", *b.EVENT_SENSORS)
@@ -539,7 +539,7 @@ def alerts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def envelope_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream whole rows out as messages, and decode what was sent."""
     schema = b.table(spark, sf_dir, "events").schema
-    rows = stream_files(spark, f"{sf_dir}/events*.parquet", schema, "parquet")
+    rows = stream_files(spark, f"{sf_dir}/event[s].parquet", schema, "parquet")
     topic = fresh_path(spark, "topic")
     messages = encode(rows, keep=("event_id",))
     drain(stream_to_envelope_files(messages, topic, fresh_path(spark, "cp"), "event_id"))

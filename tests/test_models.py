@@ -142,6 +142,34 @@ def test_registry(spark, signal, tmp_path):
         registry.transition("SensorModel", 1, "Live")
 
 
+def test_stage_is_served_by_the_version_moved_there_last(spark, signal, tmp_path):
+    registry = ModelRegistry(spark, str(tmp_path))
+    models = [fit_linear(signal.withColumn("sensor5", F.col("sensor5") + 10 * i)) for i in range(3)]
+    for model in models:
+        registry.register("m", model)
+    served = lambda: registry.load("m", stage="Production").stages[-1].intercept
+    for version in (1, 3, 2):  # 2 is a step back
+        registry.transition("m", version, "Production")
+        assert served() == pytest.approx(models[version - 1].stages[-1].intercept)
+    stages = {r.version: r.stage for r in registry.listing("m").collect()}
+    assert stages == {1: "Archived", 2: "Production", 3: "Archived"}
+    registry.transition("m", 1, "Production", retire=False)  # as if the second step had failed
+    registry.describe("m", 2, "later revision, same stage")
+    assert served() == pytest.approx(models[0].stages[-1].intercept)
+    registry.transition("m", 3, "Staging")
+    assert served() == pytest.approx(models[0].stages[-1].intercept)
+
+
+def test_facts_without_a_time_are_read(spark, signal, tmp_path):
+    registry = ModelRegistry(spark, str(tmp_path))
+    registry.register("m", fit_linear(signal))
+    old = "name string, version int, stage string, description string, metric string, score double"
+    row = spark.createDataFrame([("m", 1, "Production", "", None, None)], old)
+    row.coalesce(1).write.parquet(str(tmp_path / "m" / "version=1" / "facts=2"))
+    assert registry.facts("m", 1)["moved"] is None
+    assert registry.load("m", stage="Production") is not None
+
+
 def test_half_saved_version_is_invisible(spark, signal, tmp_path):
     registry = ModelRegistry(spark, str(tmp_path))
     (tmp_path / "m" / "version=1").mkdir(parents=True)  # somebody is saving
