@@ -1,18 +1,24 @@
 """Language-model scores: a word baseline, and prediction by partial matching over bytes.
 
-The trie holds how often each byte, or the end, followed each context of two,
-one or no bytes in all training texts. A byte seen after a context costs its share;
-otherwise an escape is paid (as likely as a new symbol was: method C) and the
-next shorter context is asked, without the symbols just ruled out. Those are
-the longer context's, so one table of all contexts and symbols says it all. Its
-size is 65,793 contexts by 257 symbols whatever the corpus; the counts behind
-it come from every training text.
-
-Word counts are sharded: the most frequent million is sent to all tasks, the
-rest is joined. Words are told apart by a 64-bit hash.
-
-Defined results: a null text is empty and consists of its end. Repeated rows are
-scored each. Without training texts every symbol is equally likely.
+The trie holds how often each byte, or the end, followed each context of up to five
+bytes in all training texts. A symbol seen after a context costs its share; otherwise
+an escape is paid (as likely as a new symbol was: method C) and the next shorter
+context is asked, without the symbols just ruled out. What followed a context also
+followed its suffixes, so a context's own symbols are all that its suffix excludes.
+
+Texts lie in blocks of some megabytes. A block's distinct grams (five bytes and the
+symbol after them) are counted once, and sums over blocks are the trie: counts of
+shorter contexts are sums over longer ones. Grams that share the last three bytes of
+their context are priced together, which is every context from three bytes up; the
+counts of shorter contexts go to all tasks, 65,536 pairs by 257 symbols at most. Each
+block then gets the prices of its own grams, and its texts are read against these.
+So the trie grows with the corpus, while a task holds the part one block can reach.
+The words of the baseline go the same way, told apart by a 64-bit hash.
+
+Defined results: a null text is empty and consists of its end. Before a text stand
+five zero bytes. Repeated rows are scored each. Without training texts every symbol
+is equally likely. A text longer than a block is a block, read in parts. An empty
+table gives an empty one; other columns are not used.
 """
 
 from __future__ import annotations
@@ -28,199 +34,266 @@ from fleetgauge.llm.language_id import remainder
 from fleetgauge.llm.text import slices, utf8, word_hashes
 from fleetgauge.session import stored
 
-FREQUENT = 1 << 20
+ORDER = 5
+NEAR = 2  # contexts up to this length go to all tasks
 SYMBOLS = 257
 END = 256
-PAIRS = 1 << 16
-FLUSH = 1_000_000
+BLOCK = 16 << 20
+PART = 2 << 20
+PRICED = 1 << 20
 
-_ROW = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("n", pa.int64())])
+_SYMBOL_BITS = 9
+TEXT, WORD, GRAM = 0, 1, 2
 
+_BLOCKS = pa.schema(
+    [("block", pa.int64()), ("kind", pa.int8()), ("key", pa.int64()), ("n", pa.int64()),
+     ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("text", pa.large_string())]
+)
+_BLOCKS_DDL = "block long, kind byte, key long, n long, doc_id long, held_out boolean, text string"
+
+
+def context_of(keys: np.ndarray, length: int) -> np.ndarray:
+    """The last bytes of the grams' contexts, the last one highest."""
+    return keys >> (_SYMBOL_BITS + 8 * (ORDER - length))
+
+
+def _keys(line: np.ndarray) -> np.ndarray:
+    """The gram at each place of a line but its first five: nearest byte first, symbol last."""
+    keys = line[ORDER:].copy()
+    for back in range(1, ORDER + 1):
+        keys |= line[ORDER - back : len(line) - back] << (_SYMBOL_BITS + 8 * (ORDER - back))
+    return keys
+
+
+def grams(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Grams of texts laid end to end, and the text each is from. One long text comes in parts."""
+    count = len(offsets) - 1
+    if count == 1:
+        for start in range(0, max(len(data), 1), PART):
+            stop = min(start + PART, len(data))
+            line = np.zeros(ORDER, np.int64)
+            before = data[max(0, start - ORDER) : start]
+            line[ORDER - len(before) :] = before
+            line = np.r_[line, data[start:stop].astype(np.int64), [END] * (stop == len(data))]
+            keys = _keys(line.astype(np.int64))
+            yield keys, np.zeros(len(keys), np.int64)
+        return
+    lengths = np.diff(offsets)
+    step = ORDER + 1
+    line = np.zeros(len(data) + step * count, np.int64)
+    rows = np.repeat(np.arange(count), lengths)
+    at = np.arange(len(data)) + ORDER + step * rows
+    line[at] = data
+    ends = offsets[1:] + ORDER + step * np.arange(count)
+    line[ends] = END
+    places = np.r_[at, ends]
+    yield _keys(line)[places - ORDER], np.r_[rows, np.arange(count)]
+
+
+def _merged(parts: list) -> tuple[np.ndarray, np.ndarray]:
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    found, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return found, np.bincount(at, np.concatenate([n for _, n in parts])).astype(np.int64)
 
-def contexts(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row of the longest context (pairs, then single bytes, then none) and symbol at each place."""
-    symbols = np.append(text.astype(np.int64), END)
-    rows = np.empty(len(symbols), np.int64)
-    rows[:1] = PAIRS + 256
-    rows[1:2] = PAIRS + text[:1].astype(np.int64)
-    rows[2:] = text[:-1].astype(np.int64) << 8 | text[1:]
-    return rows, symbols
 
+def _in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts with their block, and each block's words and grams with their training counts."""
+    from pyspark import TaskContext
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of words (kind 0, the hash) and of context and symbol (kind 1)."""
+    block, held = TaskContext.get().partitionId() << 32, 0
+    parts: dict[int, list] = {WORD: [], GRAM: []}
 
-    def rows(kind, keys, n):
+    def rows(kind: int, size: int, **given) -> pa.RecordBatch:
+        given |= {"block": pa.array(np.full(size, block)), "kind": pa.array(np.full(size, kind, np.int8))}
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys), pa.array(n)], schema=_ROW
+            [given[f.name].cast(f.type) if f.name in given else pa.nulls(size, f.type) for f in _BLOCKS],
+            schema=_BLOCKS,
         )
 
-    grams = np.zeros((PAIRS + 257) * SYMBOLS, np.int64)
-    waiting, held = [], 0
+    def counts() -> Iterator[pa.RecordBatch]:
+        for kind in parts:
+            keys, n = _merged(parts[kind])
+            parts[kind] = []
+            for a in range(0, len(keys), 100_000):
+                some = keys[a : a + 100_000], n[a : a + 100_000]
+                yield rows(kind, len(some[0]), key=pa.array(some[0]), n=pa.array(some[1]))
+
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", PART):
             data, offsets = utf8(part.column("text"))
-            words, counts = np.unique(word_hashes(data, offsets)[0].view(np.int64), return_counts=True)
-            waiting.append((words, counts))
-            held += len(words)
-            if held > FLUSH:
-                yield rows(0, *_merged(waiting))
-                waiting, held = [], 0
-            keys = []
-            for a, b in zip(offsets[:-1], offsets[1:]):
-                at, symbol = contexts(data[a:b])
-                keys.append((at * SYMBOLS + symbol).astype(np.int32))
-            found, n = np.unique(np.concatenate(keys), return_counts=True)
-            grams[found] += n
-    if waiting:
-        yield rows(0, *_merged(waiting))
-    seen = np.flatnonzero(grams)
-    yield rows(1, seen, grams[seen])
-
-
-def _merged(parts: list) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.concatenate([k for k, _ in parts])
-    found, at = np.unique(keys, return_inverse=True)
-    return found, np.bincount(at, np.concatenate([n for _, n in parts])).astype(np.int64)
-
-
-def code_table(counts: np.ndarray) -> np.ndarray:
-    """log10 probability of every symbol after every context, from counts [context, symbol].
-
-    Counts of texts' first two symbols stand under the shorter contexts; those of
-    longer contexts are added to their suffixes here.
+            aside = part.column("held_out").to_numpy(zero_copy_only=False).astype(np.int64)
+            hashes, where = word_hashes(data, offsets)
+            words, at = np.unique(hashes.view(np.int64), return_inverse=True)
+            train = np.repeat(1 - aside, np.diff(where))
+            parts[WORD].append((words, np.bincount(at, train, len(words)).astype(np.int64)))
+            for keys, row in grams(data, offsets):
+                found, n = np.unique(keys << 1 | aside[row], return_counts=True)
+                parts[GRAM].append((found >> 1, np.where(found & 1, 0, n)))
+                if len(parts[GRAM]) > 8:
+                    parts[GRAM] = [_merged(parts[GRAM])]
+            own = {name: part.column(name) for name in ("doc_id", "held_out", "text")}
+            yield rows(TEXT, part.num_rows, **own)
+            held += len(data)
+            if held >= BLOCK:
+                yield from counts()
+                block, held = block + 1, 0
+    yield from counts()
+
+
+class Near:
+    """Counts of symbols after contexts of two bytes, one and none."""
+
+    def __init__(self, keys: np.ndarray, n: np.ndarray):
+        """Keys are a pair's number (the last byte highest) times 257 plus the symbol."""
+        order = np.argsort(keys)
+        self.keys, self.n = keys[order], n[order].astype(np.float64)
+        pair, symbol = np.divmod(self.keys, SYMBOLS)
+        self.one = np.bincount((pair >> 8) * SYMBOLS + symbol, self.n, 256 * SYMBOLS).reshape(256, SYMBOLS)
+        self.none = self.one.sum(axis=0)
+        self.total2 = np.bincount(pair, self.n, 1 << 16)
+        self.kinds2 = np.bincount(pair, minlength=1 << 16).astype(np.float64)
+        self.shut2 = np.bincount(pair, self.one[pair >> 8, symbol], 1 << 16)
+        self.total1, self.kinds1 = self.one.sum(axis=1), (self.one > 0).sum(axis=1)
+        self.shut1 = np.where(self.one > 0, self.none, 0).sum(axis=1)
+
+    def after_pair(self, pair: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros(len(pair))
+        wanted = pair * SYMBOLS + symbol
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        return np.where(self.keys[at] == wanted, self.n[at], 0.0)
+
+
+def _step(below, n, total, kinds, full):
+    """Method C at one context: a seen symbol by count, the escape spread as ``below``."""
+    size = np.maximum(np.where(full, total, total + kinds), 1)
+    escape = np.where(full, 0.0, np.where(total > 0, kinds / size, 1.0))
+    return np.where(n > 0, n / size, escape * below)
+
+
+def prices(keys: np.ndarray, counts: np.ndarray, near: Near) -> np.ndarray:
+    """log10 probability of each gram's symbol after its context.
+
+    Keys are sorted and distinct, and hold all grams with the contexts of three bytes
+    that occur in them; a gram that only texts to be scored have counts 0.
     """
-    pairs = counts[:PAIRS]
-    singles = counts[PAIRS : PAIRS + 256] + pairs.reshape(256, 256, SYMBOLS).sum(axis=0)
-    none = counts[PAIRS + 256] + singles.sum(axis=0)
-    base = np.full(SYMBOLS, 1.0 / SYMBOLS)
-    p_none = _level(none[None], base[None], np.zeros((1, SYMBOLS), bool))[0]
-    # After an escape from a single byte, its symbols are excluded below.
-    seen1 = singles > 0
-    below1 = _excluded(none[None], seen1, base[None])
-    p_single = _blend(singles, below1)
-    out = np.empty((PAIRS + 257, SYMBOLS), np.float32)
-    out[PAIRS + 256] = np.log10(p_none)
-    out[PAIRS : PAIRS + 256] = np.log10(p_single)
-    for first in range(256):
-        n = pairs[first * 256 : (first + 1) * 256]
-        seen2 = n > 0
-        # The second byte's context without what the pair has seen; then none without all of it.
-        inner = _excluded(none[None], seen1 | seen2, base[None])
-        below2 = _level(singles, inner, seen2)
-        out[first * 256 : (first + 1) * 256] = np.log10(_blend(n, below2))
-    return out
-
-
-def _blend(n: np.ndarray, below: np.ndarray) -> np.ndarray:
-    """Method C: seen symbols by count, the escape spread as ``below`` over the rest."""
-    total, kinds = n.sum(axis=1, keepdims=True), (n > 0).sum(axis=1, keepdims=True)
-    size = np.maximum(total + kinds, 1)
-    escape = np.where(total > 0, kinds / size, 1.0)
-    # With every symbol seen there is nothing to escape to; the seen share it.
-    full = (kinds == SYMBOLS) & (total > 0)
-    seen = np.where(full, n / np.maximum(total, 1), n / size)
-    return np.where(n > 0, seen, escape * below)
-
-
-def _level(n: np.ndarray, below: np.ndarray, excluded: np.ndarray) -> np.ndarray:
-    """One context's probabilities without the excluded symbols."""
-    n = np.where(excluded, 0, n)
-    total, kinds = n.sum(axis=1, keepdims=True), (n > 0).sum(axis=1, keepdims=True)
-    size = np.maximum(total + kinds, 1)
-    rest = ~excluded & (n == 0)
-    mass = np.where(rest, below, 0).sum(axis=1, keepdims=True)
-    spread = np.where(rest, below, 0) / np.where(mass > 0, mass, 1)
-    escape = np.where(total > 0, np.where(mass > 0, kinds / size, 0), 1.0)
-    seen = n / np.where(mass > 0, size, np.maximum(total, 1))
-    return np.where(n > 0, seen, escape * spread)
-
-
-def _excluded(none: np.ndarray, seen: np.ndarray, base: np.ndarray) -> np.ndarray:
-    return _level(np.broadcast_to(none, seen.shape), np.broadcast_to(base, seen.shape), seen)
-
-
-SCORED = (
-    "uid long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, "
-    "rest array<struct<key:bigint,n:bigint>>"
-)
-
-
-def train(texts: DataFrame) -> DataFrame:
-    """Counts of words and of contexts with symbols, over all texts."""
-    rows = texts.select("text").mapInArrow(_count, "kind int, key long, n long")
-    return stored(rows.groupBy("kind", "key").agg(F.sum("n").alias("n")), "lm-counts")
+    symbol, pair = keys & (2**_SYMBOL_BITS - 1), context_of(keys, NEAR)
+    byte = pair >> 8
+    n = {0: near.none[symbol], 1: near.one[byte, symbol], NEAR: near.after_pair(pair, symbol)}
+    total = {0: near.none.sum(), 1: near.total1[byte], NEAR: near.total2[pair]}
+    kinds = {0: (near.none > 0).sum(), 1: near.kinds1[byte], NEAR: near.kinds2[pair]}
+    # What the symbols of a context come to in the next shorter one.
+    shut = {1: near.shut1[byte], NEAR: near.shut2[pair]}
+    for k in range(NEAR + 1, ORDER + 1):
+        context = context_of(keys, k)
+        segment = np.cumsum(np.r_[0, context[1:] != context[:-1]])
+        _, first, at = np.unique(segment * SYMBOLS + symbol, return_index=True, return_inverse=True)
+        sums = np.bincount(at, counts)
+        own = segment[first]
+        n[k] = sums[at]
+        total[k] = np.bincount(segment, counts)[segment]
+        kinds[k] = np.bincount(own, sums > 0)[segment]
+        shut[k] = np.bincount(own, np.where(sums > 0, n[k - 1][first], 0))[segment]
+    p = np.full(len(keys), 1.0 / max(SYMBOLS - kinds[0], 1))
+    for k in range(ORDER):
+        p = _step(p, n[k], total[k] - shut[k + 1], kinds[k] - kinds[k + 1], kinds[k] == SYMBOLS)
+    return np.log10(_step(p, n[ORDER], total[ORDER], kinds[ORDER], kinds[ORDER] == SYMBOLS))
+
+
+def _priced(tally: DataFrame, near: Near) -> DataFrame:
+    """Every gram's price, those of one context of three bytes in one task and one go."""
+    shared = tally.sparkSession.sparkContext.broadcast(near)
+    bits = _SYMBOL_BITS + 8 * (ORDER - NEAR - 1)
+
+    def price(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(keys, n):
+            code = prices(keys, n, shared.value)
+            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(code)], names=["key", "code"])
+
+        waiting, held = [], 0
+        for batch in batches:
+            waiting.append((batch.column("key").to_numpy(), batch.column("n").to_numpy()))
+            held += batch.num_rows
+            if held >= PRICED:
+                keys, n = (np.concatenate(c) for c in zip(*waiting))
+                cut = int(np.searchsorted(keys, keys[-1] >> bits << bits))
+                if cut:
+                    yield out(keys[:cut], n[:cut])
+                waiting, held = [(keys[cut:], n[cut:])], len(keys) - cut
+        if held:
+            yield out(*(np.concatenate(c) for c in zip(*waiting)))
+
+    grouped = tally.where(F.col("kind") == GRAM).select("key", "n", F.shiftright("key", bits).alias("near"))
+    ordered = grouped.repartition("near").sortWithinPartitions("key").select("key", "n")
+    return ordered.mapInArrow(price, "key long, code double")
+
+
+def _found(keys: np.ndarray, codes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    return codes[np.searchsorted(keys, wanted)]
+
+
+def _read(texts: pa.Table, priced: pa.Table) -> pa.Table:
+    """Tokens, known words and both sums of every text of a block."""
+    kind = priced["kind"].to_numpy()
+    tables = {}
+    for k in (WORD, GRAM):
+        keys, codes = (priced[c].to_numpy()[kind == k] for c in ("key", "code"))
+        order = np.argsort(keys)
+        tables[k] = keys[order], codes[order]
+    out = []
+    for batch in texts.combine_chunks().to_batches():
+        for part in slices(batch, "text", PART):
+            data, offsets = utf8(part.column("text"))
+            size = part.num_rows
+            hashes, where = word_hashes(data, offsets)
+            row = np.repeat(np.arange(size), np.diff(where))
+            logs = _found(*tables[WORD], hashes.view(np.int64))
+            score = np.zeros(size)
+            for keys, rows in grams(data, offsets):
+                score += np.bincount(rows, _found(*tables[GRAM], keys), size)
+            # A word of count 0 weighs log10(0.5); every other one is above.
+            known = np.bincount(row, logs > -0.2, size).astype(np.int64)
+            numbers = [np.diff(where) + 1, known, np.bincount(row, logs, size).astype(float), score]
+            out.append([part.column("doc_id"), part.column("held_out"), *map(pa.array, numbers)])
+    columns = [pa.chunked_array(c) for c in zip(*out)]
+    return pa.table(columns, names=["doc_id", "held_out", "n_tokens", "known", "logs", "score"])
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
     """Baseline and model score of every row, learning from four fifths of them by id."""
     held_out = F.coalesce(remainder("doc_id", 5) == 1, F.lit(False))
-    rows = docs.select("doc_id", "text", held_out.alias("held_out"))
-    training = rows.where(~F.col("held_out"))
-    counts = train(training)
-    words = counts.where("kind = 0").select("key", "n")
-    ends = training.count()
-    sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out.alias("held_out"))
+    blocks = stored(rows.mapInArrow(_in_blocks, _BLOCKS_DDL), "lm-blocks")
+    wanted = blocks.where(F.col("kind") != TEXT).select("block", "kind", "key", "n")
+    tally = stored(wanted.groupBy("kind", "key").agg(F.sum("n").alias("n")), "lm-counts")
+
+    texts = blocks.where(F.col("kind") == TEXT).select("block", "doc_id", "held_out", "text")
+    ends = texts.where(~F.col("held_out")).count()
+    seen = tally.where((F.col("kind") == WORD) & (F.col("n") > 0))
+    sums = seen.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     total, kinds = sums[0] + ends, sums[1] + (ends > 0)
-    ranked = words.orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow()
-    keys = ranked["key"].to_numpy()
-    order = np.argsort(keys)
-    grams = counts.where("kind = 1").toArrow()
-    table = np.zeros((PAIRS + 257, SYMBOLS), np.int64)
-    table.reshape(-1)[grams["key"].to_numpy()] = grams["n"].to_numpy()
-    shared = docs.sparkSession.sparkContext.broadcast(
-        (keys[order], ranked["n"].to_numpy()[order], code_table(table))
-    )
-    below = np.log10(total + 0.5 * (kinds + 1))
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, n_frequent, codes = shared.value
-        schema = pa.schema(
-            [("uid", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-             ("base", pa.float64()), ("score", pa.float64()), ("rest", pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int64())])))]
-        )
-        for batch in batches:
-            for part in slices(batch, "text"):
-                data, offsets = utf8(part.column("text"))
-                hashes, where = word_hashes(data, offsets)
-                own, at = np.unique(hashes.view(np.int64), return_inverse=True)
-                place = np.minimum(np.searchsorted(frequent, own), max(len(frequent) - 1, 0))
-                found = frequent[place] == own if len(frequent) else np.zeros(len(own), bool)
-                logs = np.where(found, np.log10(np.where(found, n_frequent[place] if len(frequent) else 0, 0) + 0.5), 0.0)
-                out = []
-                for i, (a, b) in enumerate(zip(where[:-1], where[1:])):
-                    mine = at[a:b]
-                    known = found[mine]
-                    rest, n = np.unique(own[mine[~known]], return_counts=True)
-                    context, symbol = contexts(data[offsets[i] : offsets[i + 1]])
-                    out.append(
-                        (
-                            b - a + 1,
-                            int(known.sum()) + (ends > 0),
-                            float(logs[mine].sum()) + np.log10(ends + 0.5) - (b - a + 1) * below,
-                            float(codes[context, symbol].sum(dtype=np.float64)),
-                            [{"key": int(k), "n": int(c)} for k, c in zip(rest, n)],
-                        )
-                    )
-                columns = list(zip(*out))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("uid"), part.column("doc_id").cast(pa.int64()), part.column("held_out"), *[pa.array(c, f.type) for c, f in zip(columns, list(schema)[3:])]],
-                    schema=schema,
-                )
-
-    scored = rows.withColumn("uid", F.monotonically_increasing_id()).mapInArrow(score, SCORED)
-    scored = stored(scored, "lm-scores")
-    rare = scored.select("uid", F.inline("rest")).join(words.withColumnRenamed("n", "c"), "key", "left")
-    more = rare.groupBy("uid").agg(
-        F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("more"),
-        F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("also"),
+    pair = F.shiftright("key", _SYMBOL_BITS + 8 * (ORDER - NEAR)) * SYMBOLS
+    symbol = F.col("key").bitwiseAND(F.lit(2**_SYMBOL_BITS - 1).cast("long"))
+    near = tally.where((F.col("kind") == GRAM) & (F.col("n") > 0)).groupBy((pair + symbol).alias("key"))
+    near = near.agg(F.sum("n").alias("n")).toArrow()
+    codes = _priced(tally, Near(near["key"].to_numpy(), near["n"].to_numpy()))
+
+    words = tally.where(F.col("kind") == WORD).select("kind", "key", F.log10(F.col("n") + 0.5).alias("code"))
+    codes = codes.select(F.lit(GRAM).cast("byte").alias("kind"), "key", "code").unionByName(words)
+    priced = wanted.join(codes.hint("shuffle_merge"), ["kind", "key"])
+    priced = priced.select(F.col("block").alias("reader"), "kind", "key", "code")
+    scored = texts.groupBy("block").cogroup(priced.groupBy("reader")).applyInArrow(
+        _read, "doc_id long, held_out boolean, n_tokens long, known long, logs double, score double"
     )
-    return scored.join(more, "uid", "left").select(
+    below = float(np.log10(total + 0.5 * (kinds + 1)))
+    return scored.select(
         "doc_id",
         "held_out",
         "n_tokens",
-        (F.col("n_known") + F.coalesce("also", F.lit(0))).alias("n_known"),
+        (F.col("known") + int(ends > 0)).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
+        (F.col("logs") + float(np.log10(ends + 0.5)) - F.col("n_tokens") * below).alias("base_score"),
         "score",
     )

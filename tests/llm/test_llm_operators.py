@@ -1,6 +1,9 @@
 """The operators against brute force on small tables with nulls, ties, copies and long texts."""
 
+import math
 import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -251,14 +254,6 @@ def test_main_text(spark):
 
 
 def test_scores_match_plain_counts(docs):
-    counts = np.zeros((ppm.PAIRS + 257, ppm.SYMBOLS), np.int64)
-    for t in TEXTS[1:]:
-        np.add.at(counts, ppm.contexts(np.frombuffer(t.encode(), np.uint8)), 1)
-    assert np.abs((10.0 ** ppm.code_table(counts).astype(float)).sum(axis=1) - 1).max() < 1e-5
-    import math
-    import zlib
-    from collections import Counter
-
     rows = docs.collect()
     tokens = lambda t: [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in _words(t)] + ["\n"]
     held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1
@@ -271,6 +266,66 @@ def test_scores_match_plain_counts(docs):
     found = ppm.score_documents(docs).collect()
     assert sorted((str(r.doc_id), r.n_tokens, r.n_known, round(r.base_score, 4)) for r in found) == expected
     assert all(r.train_tokens == n and r.score < 0 and r.held_out == held(r.doc_id) for r in found)
+    trie = {}
+    for r in rows:
+        if not held(r.doc_id):
+            data = bytes(5) + (r.text or "").encode()
+            for at, symbol in enumerate([*data[5:], 256], 5):
+                for k in range(6):
+                    trie.setdefault(data[at - k : at], Counter())[symbol] += 1
+    whole = sorted((str(r.doc_id), round(_code_length(trie, (r.text or "").encode()), 3)) for r in rows)
+    assert sorted((str(r.doc_id), round(r.score, 3)) for r in found) == whole
+
+
+def _code_length(trie, text):
+    data, out = bytes(5) + text, 0.0
+    for at, symbol in enumerate([*data[5:], 256], 5):
+        ruled_out = set()
+        for k in range(5, -1, -1):
+            followers = trie.get(data[at - k : at], {})
+            left = {s: n for s, n in followers.items() if s not in ruled_out}
+            size = sum(left.values()) + len(left)
+            if symbol in left:
+                out += math.log10(left[symbol] / size)
+                break
+            if left:
+                out += math.log10(len(left) / size)
+            ruled_out |= set(left)
+        else:
+            out -= math.log10(257 - len(ruled_out))
+    return out
+
+
+def test_a_long_text_is_scored_in_parts(spark, monkeypatch):
+    data = np.frombuffer(("größe " * 50 + "the end").encode(), np.uint8)
+    whole = np.concatenate([k for k, _ in ppm.grams(data, np.array([0, len(data)]))])
+    monkeypatch.setattr(ppm, "PART", 7)
+    cut = np.concatenate([k for k, _ in ppm.grams(data, np.array([0, len(data)]))])
+    both = next(ppm.grams(np.r_[data, data], np.array([0, len(data), 2 * len(data)])))
+    assert (whole == cut).all()
+    assert (np.sort(both[0][both[1] == 1]) == np.sort(whole)).all()
+
+
+def test_prices_of_all_symbols_add_up_to_one():
+    rng = np.random.default_rng(7)
+    text = rng.choice(np.frombuffer(b"abc \xc3", np.uint8), 3000)
+    keys, n = np.unique(next(ppm.grams(text, np.array([0, len(text)])))[0], return_counts=True)
+    pairs = ppm.context_of(keys, 2) * ppm.SYMBOLS + (keys & 511)
+    found, at = np.unique(pairs, return_inverse=True)
+    near = ppm.Near(found, np.bincount(at, n))
+    every = np.unique((keys >> 9 << 9)[:, None] + np.arange(ppm.SYMBOLS))
+    counts = np.zeros(len(every))
+    counts[np.searchsorted(every, keys)] = n
+    p = 10.0 ** ppm.prices(every, counts, near)
+    assert np.abs(p.reshape(-1, ppm.SYMBOLS).sum(axis=1) - 1).max() < 1e-9
+
+
+def test_scores_of_empty_tables_and_clashing_columns(spark):
+    schema = "doc_id long, text string, block int, kind string, key int, code int, score int"
+    none = spark.createDataFrame([], schema)
+    assert ppm.score_documents(none).count() == 0
+    rows = spark.createDataFrame([(1, None, 1, "a", 2, 3, 4), (None, "x y", 1, "a", 2, 3, 4)] * 2, schema)
+    assert ppm.score_documents(rows).count() == 4
 
 
 def test_kneser_ney(docs, labels):
