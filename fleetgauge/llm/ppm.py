@@ -7,12 +7,14 @@ context is asked, without the symbols just ruled out. What followed a context al
 followed its suffixes, so a context's own symbols are all that its suffix excludes.
 
 Texts lie in blocks of some megabytes. A block's distinct grams (five bytes and the
-symbol after them) are counted once, and sums over blocks are the trie: counts of
-shorter contexts are sums over longer ones. Grams that share the last three bytes of
-their context are priced together, which is every context from three bytes up; the
-counts of shorter contexts go to all tasks, 65,536 pairs by 257 symbols at most. Each
-block then gets the prices of its own grams, and its texts are read against these.
-So the trie grows with the corpus, while a task holds the part one block can reach.
+symbol after them) are counted once and dealt to shards by the last three bytes of the
+context, packed. A shard adds its blocks' counts up: that is the trie, in which counts
+of shorter contexts are sums over longer ones, and every context from three bytes up is
+whole in one shard. The counts of shorter contexts go to all tasks, 65,536 pairs by 257
+symbols at most. Then each shard prices its grams and answers the blocks one after the
+other, and each block's texts are read against its answers. So the trie grows with the
+corpus, while a task holds one shard of it, or the part that one block can reach. The
+number of shards grows with the root of the text, as the number of grams does or less.
 The words of the baseline go the same way, told apart by a 64-bit hash.
 
 Defined results: a null text is empty and consists of its end. Before a text stand
@@ -23,7 +25,8 @@ table gives an empty one; other columns are not used.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetgauge.llm.language_id import remainder
-from fleetgauge.llm.text import slices, utf8, word_hashes
+from fleetgauge.llm.text import mix, slices, utf8, word_hashes
 from fleetgauge.session import stored
 
 ORDER = 5
@@ -40,16 +43,52 @@ SYMBOLS = 257
 END = 256
 BLOCK = 16 << 20
 PART = 2 << 20
-PRICED = 1 << 20
+PENDING = 1 << 20
+SHARDS = 32
+SHARED_BYTES = 1 << 29
 
 _SYMBOL_BITS = 9
 TEXT, WORD, GRAM = 0, 1, 2
 
-_BLOCKS = pa.schema(
-    [("block", pa.int64()), ("kind", pa.int8()), ("key", pa.int64()), ("n", pa.int64()),
-     ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("text", pa.large_string())]
-)
-_BLOCKS_DDL = "block long, kind byte, key long, n long, doc_id long, held_out boolean, text string"
+_PACKED = [("block", pa.int64()), ("kind", pa.int8()), ("shard", pa.int32()), ("size", pa.int64()),
+           ("keys", pa.binary()), ("numbers", pa.binary())]
+_PACKED_DDL = "block long, kind byte, shard int, size long, keys binary, numbers binary"
+_BLOCKS = pa.schema([*_PACKED, ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("text", pa.large_string())])
+_TALLY = pa.schema([*_PACKED, ("total", pa.int64()), ("seen", pa.int64())])
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Numbers as compressed bytes, all first bytes before all second ones."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(blob: bytes, size: int, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    planes = pa.decompress(blob, decompressed_size=size * width, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, size).T).view(kind)[:, 0]
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys, as the steps between them."""
+    return packed(np.diff(keys, prepend=np.int64(0)))
+
+
+def unpacked_keys(blob: bytes, size: int) -> np.ndarray:
+    return np.cumsum(unpacked(blob, size, np.int64))
+
+
+def _rows(schema: pa.Schema, rows: int, **given) -> pa.RecordBatch:
+    """A batch with the given columns (or one value for all rows), others null."""
+    def column(field):
+        value = given.get(field.name)
+        if isinstance(value, list):
+            return pa.array(value, field.type)
+        if isinstance(value, pa.Array):
+            return value.cast(field.type)
+        return pa.nulls(rows, field.type) if value is None else pa.array([value] * rows, field.type)
+
+    return pa.RecordBatch.from_arrays([column(f) for f in schema], schema=schema)
 
 
 def context_of(keys: np.ndarray, length: int) -> np.ndarray:
@@ -97,48 +136,93 @@ def _merged(parts: list) -> tuple[np.ndarray, np.ndarray]:
     return found, np.bincount(at, np.concatenate([n for _, n in parts])).astype(np.int64)
 
 
-def _in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts with their block, and each block's words and grams with their training counts."""
-    from pyspark import TaskContext
+def _shard(kind: int, keys: np.ndarray, shards: int) -> np.ndarray:
+    """Grams go by the last three bytes of their context, words by their hash."""
+    spread = mix(context_of(keys, NEAR + 1).astype(np.uint64)) if kind == GRAM else keys.view(np.uint64)
+    return (spread % np.uint64(shards)).astype(np.int32)
+
 
-    block, held = TaskContext.get().partitionId() << 32, 0
-    parts: dict[int, list] = {WORD: [], GRAM: []}
+def _in_blocks(shards: int) -> Callable:
+    """Texts with their block, and each block's words and grams by shard, with their training counts."""
 
-    def rows(kind: int, size: int, **given) -> pa.RecordBatch:
-        given |= {"block": pa.array(np.full(size, block)), "kind": pa.array(np.full(size, kind, np.int8))}
-        return pa.RecordBatch.from_arrays(
-            [given[f.name].cast(f.type) if f.name in given else pa.nulls(size, f.type) for f in _BLOCKS],
-            schema=_BLOCKS,
-        )
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
 
-    def counts() -> Iterator[pa.RecordBatch]:
-        for kind in parts:
-            keys, n = _merged(parts[kind])
-            parts[kind] = []
-            for a in range(0, len(keys), 100_000):
-                some = keys[a : a + 100_000], n[a : a + 100_000]
-                yield rows(kind, len(some[0]), key=pa.array(some[0]), n=pa.array(some[1]))
+        block, held = TaskContext.get().partitionId() << 32, 0
+        parts: dict[int, list] = {WORD: [], GRAM: []}
 
+        def counts() -> Iterator[pa.RecordBatch]:
+            for kind in parts:
+                keys, n = _merged(parts[kind])
+                parts[kind] = []
+                shard = _shard(kind, keys, shards)
+                order = np.argsort(shard, kind="stable")
+                found, starts = np.unique(shard[order], return_index=True)
+                for which, own in zip(found, np.split(order, starts[1:])):
+                    own_keys, own_n = packed_keys(keys[own]), packed(n[own])
+                    yield _rows(_BLOCKS, 1, block=block, kind=kind, shard=which, size=len(own), keys=[own_keys], numbers=[own_n])
+
+        for batch in batches:
+            for part in slices(batch, "text", PART):
+                data, offsets = utf8(part.column("text"))
+                aside = part.column("held_out").to_numpy(zero_copy_only=False).astype(np.int64)
+                hashes, where = word_hashes(data, offsets)
+                words, at = np.unique(hashes.view(np.int64), return_inverse=True)
+                train = np.repeat(1 - aside, np.diff(where))
+                parts[WORD].append((words, np.bincount(at, train, len(words)).astype(np.int64)))
+                for keys, row in grams(data, offsets):
+                    found, n = np.unique(keys << 1 | aside[row], return_counts=True)
+                    parts[GRAM].append((found >> 1, np.where(found & 1, 0, n)))
+                    if len(parts[GRAM]) > 8:
+                        parts[GRAM] = [_merged(parts[GRAM])]
+                own = {name: part.column(name) for name in ("doc_id", "held_out", "text")}
+                yield _rows(_BLOCKS, part.num_rows, block=block, kind=TEXT, **own)
+                held += len(data)
+                if held >= BLOCK:
+                    yield from counts()
+                    block, held = block + 1, 0
+        yield from counts()
+
+    return cut
+
+
+def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Rows one by one."""
+    names = [name for name, _ in _PACKED]
     for batch in batches:
-        for part in slices(batch, "text", PART):
-            data, offsets = utf8(part.column("text"))
-            aside = part.column("held_out").to_numpy(zero_copy_only=False).astype(np.int64)
-            hashes, where = word_hashes(data, offsets)
-            words, at = np.unique(hashes.view(np.int64), return_inverse=True)
-            train = np.repeat(1 - aside, np.diff(where))
-            parts[WORD].append((words, np.bincount(at, train, len(words)).astype(np.int64)))
-            for keys, row in grams(data, offsets):
-                found, n = np.unique(keys << 1 | aside[row], return_counts=True)
-                parts[GRAM].append((found >> 1, np.where(found & 1, 0, n)))
-                if len(parts[GRAM]) > 8:
-                    parts[GRAM] = [_merged(parts[GRAM])]
-            own = {name: part.column(name) for name in ("doc_id", "held_out", "text")}
-            yield rows(TEXT, part.num_rows, **own)
-            held += len(data)
-            if held >= BLOCK:
-                yield from counts()
-                block, held = block + 1, 0
-    yield from counts()
+        yield from zip(*(batch.column(name).to_pylist() for name in names))
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of each shard over its blocks; rows of one shard come together."""
+    now, waiting, held = None, [], 0
+
+    def out() -> pa.RecordBatch:
+        (keys, n), (kind, shard) = _merged(waiting), now
+        sums = {"total": int(n.sum()), "seen": int((n > 0).sum())}
+        return _rows(_TALLY, 1, block=-1, kind=kind, shard=shard, size=len(keys), keys=[packed_keys(keys)], numbers=[packed(n)], **sums)
+
+    for _, kind, shard, size, keys, n in _by_shard(batches):
+        if now is not None and now != (kind, shard):
+            yield out()
+            waiting, held = [], 0
+        now = kind, shard
+        waiting.append((unpacked_keys(keys, size), unpacked(n, size, np.int64)))
+        held += size
+        if held > PENDING + 2 * len(waiting[0][0]):
+            waiting = [_merged(waiting)]
+            held = len(waiting[0][0])
+    if now is not None:
+        yield out()
+
+
+def _near_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each symbol followed each pair, within a shard."""
+    for *_, size, keys, n in _by_shard(batches):
+        keys, n = unpacked_keys(keys, size), unpacked(n, size, np.int64)
+        pairs = context_of(keys, NEAR) * SYMBOLS + (keys & (2**_SYMBOL_BITS - 1))
+        found, sums = _merged([(pairs[n > 0], n[n > 0])])
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(sums)], names=["key", "n"])
 
 
 class Near:
@@ -201,46 +285,36 @@ def prices(keys: np.ndarray, counts: np.ndarray, near: Near) -> np.ndarray:
     return np.log10(_step(p, n[ORDER], total[ORDER], kinds[ORDER], kinds[ORDER] == SYMBOLS))
 
 
-def _priced(tally: DataFrame, near: Near) -> DataFrame:
-    """Every gram's price, those of one context of three bytes in one task and one go."""
-    shared = tally.sparkSession.sparkContext.broadcast(near)
-    bits = _SYMBOL_BITS + 8 * (ORDER - NEAR - 1)
-
-    def price(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(keys, n):
-            code = prices(keys, n, shared.value)
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(code)], names=["key", "code"])
+def _answers(near) -> Callable:
+    """Each block's counts of words and prices of grams; a shard's sums come before its blocks."""
 
-        waiting, held = [], 0
-        for batch in batches:
-            waiting.append((batch.column("key").to_numpy(), batch.column("n").to_numpy()))
-            held += batch.num_rows
-            if held >= PRICED:
-                keys, n = (np.concatenate(c) for c in zip(*waiting))
-                cut = int(np.searchsorted(keys, keys[-1] >> bits << bits))
-                if cut:
-                    yield out(keys[:cut], n[:cut])
-                waiting, held = [(keys[cut:], n[cut:])], len(keys) - cut
-        if held:
-            yield out(*(np.concatenate(c) for c in zip(*waiting)))
-
-    grouped = tally.where(F.col("kind") == GRAM).select("key", "n", F.shiftright("key", bits).alias("near"))
-    ordered = grouped.repartition("near").sortWithinPartitions("key").select("key", "n")
-    return ordered.mapInArrow(price, "key long, code double")
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, kind, shard, size, blob, n in _by_shard(batches):
+            keys = unpacked_keys(blob, size)
+            if block < 0:
+                held, values = keys, unpacked(n, size, np.int64)
+                if kind == GRAM:
+                    values = prices(keys, values, near.value).astype(np.float32)
+                continue
+            found = packed(values[np.searchsorted(held, keys)])
+            yield _rows(pa.schema(_PACKED), 1, block=block, kind=kind, shard=shard, size=size, keys=[blob], numbers=[found])
 
+    return answer
 
-def _found(keys: np.ndarray, codes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    return codes[np.searchsorted(keys, wanted)]
 
-
-def _read(texts: pa.Table, priced: pa.Table) -> pa.Table:
+def _read(texts: pa.Table, answers: pa.Table) -> pa.Table:
     """Tokens, known words and both sums of every text of a block."""
-    kind = priced["kind"].to_numpy()
     tables = {}
-    for k in (WORD, GRAM):
-        keys, codes = (priced[c].to_numpy()[kind == k] for c in ("key", "code"))
+    for kind, number in ((WORD, np.int64), (GRAM, np.float32)):
+        rows = [r for r in _by_shard(answers.to_batches()) if r[1] == kind]
+        keys = np.concatenate([np.zeros(0, np.int64), *(unpacked_keys(r[4], r[3]) for r in rows)])
+        values = np.concatenate([np.zeros(0, number), *(unpacked(r[5], r[3], number) for r in rows)])
         order = np.argsort(keys)
-        tables[k] = keys[order], codes[order]
+        tables[kind] = keys[order], values[order]
+
+    def found(kind, wanted):
+        return tables[kind][1][np.searchsorted(tables[kind][0], wanted)]
+
     out = []
     for batch in texts.combine_chunks().to_batches():
         for part in slices(batch, "text", PART):
@@ -248,13 +322,13 @@ def _read(texts: pa.Table, priced: pa.Table) -> pa.Table:
             size = part.num_rows
             hashes, where = word_hashes(data, offsets)
             row = np.repeat(np.arange(size), np.diff(where))
-            logs = _found(*tables[WORD], hashes.view(np.int64))
+            counts = found(WORD, hashes.view(np.int64))
+            logs = np.bincount(row, np.log10(counts + 0.5), size).astype(float)
             score = np.zeros(size)
             for keys, rows in grams(data, offsets):
-                score += np.bincount(rows, _found(*tables[GRAM], keys), size)
-            # A word of count 0 weighs log10(0.5); every other one is above.
-            known = np.bincount(row, logs > -0.2, size).astype(np.int64)
-            numbers = [np.diff(where) + 1, known, np.bincount(row, logs, size).astype(float), score]
+                score += np.bincount(rows, found(GRAM, keys), size)
+            known = np.bincount(row, counts > 0, size).astype(np.int64)
+            numbers = [np.diff(where) + 1, known, logs, score]
             out.append([part.column("doc_id"), part.column("held_out"), *map(pa.array, numbers)])
     columns = [pa.chunked_array(c) for c in zip(*out)]
     return pa.table(columns, names=["doc_id", "held_out", "n_tokens", "known", "logs", "score"])
@@ -264,27 +338,27 @@ def score_documents(docs: DataFrame) -> DataFrame:
     """Baseline and model score of every row, learning from four fifths of them by id."""
     held_out = F.coalesce(remainder("doc_id", 5) == 1, F.lit(False))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out.alias("held_out"))
-    blocks = stored(rows.mapInArrow(_in_blocks, _BLOCKS_DDL), "lm-blocks")
-    wanted = blocks.where(F.col("kind") != TEXT).select("block", "kind", "key", "n")
-    tally = stored(wanted.groupBy("kind", "key").agg(F.sum("n").alias("n")), "lm-counts")
-
-    texts = blocks.where(F.col("kind") == TEXT).select("block", "doc_id", "held_out", "text")
-    ends = texts.where(~F.col("held_out")).count()
-    seen = tally.where((F.col("kind") == WORD) & (F.col("n") > 0))
-    sums = seen.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    ends, size = rows.agg(F.count_if(~F.col("held_out")), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    shards = SHARDS * max(1, math.ceil(math.sqrt(size / SHARED_BYTES)))
+    ddl = f"{_PACKED_DDL}, doc_id long, held_out boolean, text string"
+    blocks = stored(rows.mapInArrow(_in_blocks(shards), ddl), "lm-blocks")
+    names = [name for name, _ in _PACKED]
+    wanted = blocks.where(F.col("kind") != TEXT).select(*names)
+    dealt = wanted.repartition("kind", "shard").sortWithinPartitions("kind", "shard")
+    tally = stored(dealt.mapInArrow(_summed, f"{_PACKED_DDL}, total long, seen long"), "lm-counts")
+
+    sums = tally.where(F.col("kind") == WORD).agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("seen"), F.lit(0))).first()
     total, kinds = sums[0] + ends, sums[1] + (ends > 0)
+    near = tally.where(F.col("kind") == GRAM).select(*names).mapInArrow(_near_counts, "key long, n long")
+    near = near.groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    shared = docs.sparkSession.sparkContext.broadcast(Near(near["key"].to_numpy(), near["n"].to_numpy()))
+    both = tally.select(*names).unionByName(wanted.withColumn("numbers", F.lit(None).cast("binary")))
+    ordered = both.repartition("kind", "shard").sortWithinPartitions("kind", "shard", "block")
+    answers = ordered.mapInArrow(_answers(shared), _PACKED_DDL).withColumnRenamed("block", "reader")
 
-    pair = F.shiftright("key", _SYMBOL_BITS + 8 * (ORDER - NEAR)) * SYMBOLS
-    symbol = F.col("key").bitwiseAND(F.lit(2**_SYMBOL_BITS - 1).cast("long"))
-    near = tally.where((F.col("kind") == GRAM) & (F.col("n") > 0)).groupBy((pair + symbol).alias("key"))
-    near = near.agg(F.sum("n").alias("n")).toArrow()
-    codes = _priced(tally, Near(near["key"].to_numpy(), near["n"].to_numpy()))
-
-    words = tally.where(F.col("kind") == WORD).select("kind", "key", F.log10(F.col("n") + 0.5).alias("code"))
-    codes = codes.select(F.lit(GRAM).cast("byte").alias("kind"), "key", "code").unionByName(words)
-    priced = wanted.join(codes.hint("shuffle_merge"), ["kind", "key"])
-    priced = priced.select(F.col("block").alias("reader"), "kind", "key", "code")
-    scored = texts.groupBy("block").cogroup(priced.groupBy("reader")).applyInArrow(
+    texts = blocks.where(F.col("kind") == TEXT).select("block", "doc_id", "held_out", "text")
+    answers = answers.select("reader", F.col("reader").alias("block"), "kind", "shard", "size", "keys", "numbers")
+    scored = texts.groupBy("block").cogroup(answers.groupBy("reader")).applyInArrow(
         _read, "doc_id long, held_out boolean, n_tokens long, known long, logs double, score double"
     )
     below = float(np.log10(total + 0.5 * (kinds + 1)))
