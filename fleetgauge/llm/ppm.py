@@ -42,7 +42,7 @@ NEAR = 2  # contexts up to this length go to all tasks
 SYMBOLS = 257
 END = 256
 BLOCK = 16 << 20
-PART = 2 << 20
+PART = 1 << 20
 PENDING = 1 << 20
 SHARDS = 32
 SHARED_BYTES = 1 << 29
