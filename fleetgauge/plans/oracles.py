@@ -289,10 +289,13 @@ SELECT deviceName AS "deviceName", {LIMIT} FROM limits""",
     "silver_unmatched": f"""WITH {READINGS},{DEVICES}
 SELECT device, datetime, sensor1, sensor2 FROM readings
 WHERE device IS NULL OR device NOT IN (SELECT device FROM devices WHERE location <> 'NATION_3')""",
-    "unmatched_counts": f"""WITH {READINGS},{DEVICES}, flagged AS (
+    "unmatched_counts": f"""WITH {READINGS},{DEVICES}, days AS (
+  SELECT min(CAST(datetime AS DATE)) AS first_day, max(CAST(datetime AS DATE)) AS last_day
+  FROM readings
+), flagged AS (
   SELECT d.device IS NULL AS stranger,
-         CAST(datetime AS DATE) NOT BETWEEN DATE '2024-01-01' AND DATE '2024-01-10' AS outside
-  FROM readings r LEFT JOIN devices d ON r.device = d.device
+         CAST(datetime AS DATE) > first_day + CAST((last_day - first_day) // 2 AS INTEGER) AS outside
+  FROM readings r CROSS JOIN days LEFT JOIN devices d ON r.device = d.device
 )
 SELECT count(*) AS readings, count(*) FILTER (WHERE stranger) AS unknown_device,
        count(*) FILTER (WHERE outside) AS date_outside,

@@ -20,7 +20,7 @@ from fleetgauge.models.registry import ModelRegistry
 from fleetgauge.models.scoring import linear_scorer, register_function, score, scorer
 from fleetgauge.models.training import fit_linear, train_sensor_model
 from fleetgauge.operators.alerts import alerts
-from fleetgauge.operators.dimensions import date_dimension, require_unique, unmatched
+from fleetgauge.operators.dimensions import date_bounds, date_dimension, require_unique, unmatched
 from fleetgauge.operators.quality import (
     Expectation,
     apply_expectations,
@@ -246,9 +246,11 @@ def silver_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unmatched_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings lost to a date dimension that ends too early."""
-    early = date_dimension(spark, dt.date(2024, 1, 1), dt.date(2024, 1, 10))
-    return unmatched(b.event_readings(spark, sf_dir), b.event_devices(spark, sf_dir), early)
+    """Readings lost to a date dimension that ends halfway through their days."""
+    readings = b.event_readings(spark, sf_dir)
+    first, last = date_bounds(readings)
+    early = date_dimension(spark, first, first + (last - first) // 2)
+    return unmatched(readings, b.event_devices(spark, sf_dir), early)
 
 
 def table_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
