@@ -9,14 +9,20 @@ stands above its threshold, and the state goes. Rows later than that are lost;
 
 Every task adds up its rows by device and window before they are shuffled, so
 a hot device sends a row per task and window to the task that keeps its state.
+
+State is kept by groups of windows: those of one shard of the devices that start
+within the same hour. A call serves a group, not a window, so a backlog costs calls
+by its length in time, and a group holds open windows only. More devices than some
+hundreds of thousands want more shards, which a checkpoint pins.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -29,8 +35,25 @@ _EVENTS = (
     "deviceName string, start_us long, end_us long, version int, kind string, "
     "average double, Threshold double"
 )
-_EVENT = Row(*[c.split()[0] for c in _EVENTS.split(", ")])
+_COLUMNS = [c.split()[0] for c in _EVENTS.split(", ")]
+_GIVEN = ("deviceName", "start_us", "end_us", "total", "n", "Threshold")
 _PARTIAL = "deviceName string, start_us long, end_us long, total double, n long"
+# The open windows of a group, as one Arrow table: arrays of a state schema are pickled value by value.
+_WINDOWS = pa.schema(
+    [
+        ("deviceName", pa.string()),
+        ("start_us", pa.int64()),
+        ("end_us", pa.int64()),
+        ("total", pa.float64()),
+        ("n", pa.int64()),
+        ("raised", pa.bool_()),
+        ("version", pa.int32()),
+        ("Threshold", pa.float64()),
+    ]
+)
+
+SPAN = 60 * 60 * 1_000_000
+SHARDS = 16
 
 
 def _added_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -41,31 +64,66 @@ def _added_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from sums.to_batches()
 
 
+def _due(end: int) -> int:
+    """The watermark in milliseconds that closes a window."""
+    return -(-end // 1000)
+
+
 class _Alerting(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._state = handle.getValueState(
-            "window", "total double, n long, raised boolean, version int, threshold double, end_us long"
-        )
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        total, n, raised, version, threshold, end = self._state.get() or (0.0, 0, False, 0, None, None)
-        for row in rows:
-            total, n, threshold = total + (row.total or 0.0), n + row.n, row.Threshold
-            if end is None:
-                end = row.end_us
-                self._handle.registerTimer(-(-end // 1000))
-        above = n > 0 and total / n > threshold
-        if above != raised:
-            version += 1
-            yield _EVENT(*key, end, version, "raised" if above else "retracted", total / n, threshold)
-        self._state.update((total, n, above, version, threshold, end))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        total, n, raised, version, threshold, end = self._state.get()
-        self._state.clear()
-        if raised:
-            yield _EVENT(*key, end, version + 1, "closed", total / n, threshold)
+        self._state = handle.getValueState("windows", "windows binary")
+
+    def _windows(self) -> dict[tuple, tuple]:
+        """Facts of the open windows by device and start."""
+        held = self._state.get()
+        if not held:
+            return {}
+        columns = pa.ipc.open_stream(held[0]).read_all().columns
+        return {(name, start): facts for name, start, *facts in zip(*(c.to_pylist() for c in columns))}
+
+    def _keep(self, windows: dict[tuple, tuple]) -> None:
+        """Store the windows, with a timer for the first to end."""
+        if not windows:
+            self._state.clear()
+            return
+        values = zip(*((*at, *facts) for at, facts in windows.items()))
+        table = pa.table([pa.array(v, f.type) for v, f in zip(values, _WINDOWS)], schema=_WINDOWS)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, _WINDOWS) as writer:
+            writer.write_table(table)
+        self._state.update((sink.getvalue().to_pybytes(),))
+        self._handle.registerTimer(_due(min(facts[0] for facts in windows.values())))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        windows, touched, events = self._windows(), set(), []
+        for frame in rows:
+            for name, start, end, more, count, threshold in zip(*(frame[c].tolist() for c in _GIVEN)):
+                end, total, n, raised, version, _ = windows.get((name, start)) or (end, 0.0, 0, False, 0, None)
+                windows[name, start] = (end, total + more, n + count, raised, version, threshold)
+                touched.add((name, start))
+        for at in touched:
+            end, total, n, raised, version, threshold = windows[at]
+            above = n > 0 and total / n > threshold
+            if above != raised:
+                version += 1
+                events.append((*at, end, version, "raised" if above else "retracted", total / n, threshold))
+                windows[at] = (end, total, n, above, version, threshold)
+        self._keep(windows)
+        if events:
+            yield pd.DataFrame(events, columns=_COLUMNS)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        watermark, still, events = timerValues.getCurrentWatermarkInMs(), {}, []
+        for at, facts in self._windows().items():
+            end, total, n, raised, version, threshold = facts
+            if _due(end) > watermark:
+                still[at] = facts
+            elif raised:
+                events.append((*at, end, version + 1, "closed", total / n, threshold))
+        self._keep(still)
+        if events:
+            yield pd.DataFrame(events, columns=_COLUMNS)
 
 
 def early_alerts(
@@ -74,6 +132,7 @@ def early_alerts(
     measure: str = "sensor5_avg",
     window: str = WINDOW,
     lateness: str = WATERMARK,
+    shards: int = SHARDS,
 ) -> DataFrame:
     """The stream of raised, retracted and closed alerts.
 
@@ -89,8 +148,18 @@ def early_alerts(
     limits = thresholds.select("deviceName", "Threshold").where("Threshold IS NOT NULL")
     sums = rows.mapInArrow(_added_up, _PARTIAL)
     sums = sums.withColumn("_end", F.timestamp_micros("end_us")).withWatermark("_end", lateness)
-    known = sums.join(bounded_broadcast(limits), "deviceName")
-    events = known.groupBy("deviceName", "start_us").transformWithState(
+    known = sums.join(bounded_broadcast(limits), "deviceName").select(
+        F.floor(F.col("start_us") / SPAN).alias("span"),
+        F.pmod(F.xxhash64("deviceName"), F.lit(shards)).alias("shard"),
+        "deviceName",
+        "start_us",
+        "end_us",
+        F.coalesce("total", F.lit(0.0)).alias("total"),
+        "n",
+        "Threshold",
+        "_end",
+    )
+    events = known.groupBy("span", "shard").transformWithStateInPandas(
         _Alerting(), _EVENTS, "Append", "EventTime"
     )
     return events.select(

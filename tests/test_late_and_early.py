@@ -209,6 +209,18 @@ def test_any_order_of_files_gives_the_batch_answer(spark, stateful, tmp_path):
         assert sorted((r.deviceName, r.start) for r in early.standing_alerts(found).collect()) == expected
 
 
+def test_a_backlog_keeps_state_by_group_not_by_window(spark, stateful, tmp_path):
+    rows = [(minute, 5, f"d{i}", float(i)) for minute in range(20) for i in range(40)]
+    source = write_slices(spark, tmp_path / "in", [rows, [(59, 0, "d0", 0.0)]])
+    limits = spark.range(40).selectExpr("concat('d', id) AS deviceName", "29.5D AS Threshold")
+    out = str(tmp_path / "out")
+    stream = stream_files(stateful, source, NAMED, max_files=1)
+    query = drain(early.start_early_alerts_log(stream, limits, out, f"{out}-cp", trigger="availableNow"))
+    assert max(p.stateOperators[0].numRowsTotal for p in query.recentProgress) < 200
+    kinds = sorted((r.kind, r["count"]) for r in spark.read.parquet(out).groupBy("kind").count().collect())
+    assert kinds == [("closed", 200), ("raised", 200)]
+
+
 # Corrections
 
 
