@@ -338,3 +338,15 @@ def test_kneser_ney(docs, labels):
     assert found.count() == docs.count()
     assert found.where("perplexity IS NULL AND kept").count() == 0
     assert kneser_ney.classify(docs, labels.limit(0)).where("n_bytes > 0 AND NOT kept").count() == 0
+
+
+def test_kneser_ney_learns_from_all_trusted_documents(spark):
+    docs = spark.range(5000).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    labels = spark.range(6000).selectExpr("id AS doc_id", "1 AS quality", "CAST(id % 2 AS INT) AS toxic")
+    labels = labels.unionByName(labels).withColumn("toxic", F.when(F.col("doc_id") % 2 == 1, 0))
+    ids = kneser_ney.trusted_ids(labels)
+    assert ids.count() == 6000
+    model = kneser_ney.train(docs, ids)
+    seen = {int(k) for k in model.levels[0][0]}
+    for i in range(5000):
+        assert int.from_bytes(f"text {i}"[-4:].encode(), "big") in seen
