@@ -16,6 +16,7 @@ from fleetgauge.streaming.replay import replay_files
 
 EVENT_SENSORS = SENSORS[:2]
 NUDGE = 1e-9
+REPLAY_BYTES = 64 * 2**20
 
 EVENTS = ReadingSpec(
     device="user_id",
@@ -111,14 +112,16 @@ class Replayed:
 def replayed(
     df: DataFrame, sf_dir: str, source: str, fmt: str = "parquet", order: str = "datetime"
 ) -> Replayed:
-    """Replay readings, in the order of a column, into files of about 1 GB, at least eight.
+    """Replay readings, in the order of a column, into files of about 64 MB of source, at least eight.
+
+    A task sorts the rows of one file in memory, so its share must not grow with the table.
 
     A micro-batch takes as many files as keep the cores busy, but no more
     than a quarter of them, so that there are several batches at any size.
     """
     spark = df.sparkSession
     size = storage.total_bytes(spark, f"{sf_dir}/{source}.parquet")
-    slices = max(8, min(math.ceil(size / 2**30), MOST_PARTITIONS))
+    slices = max(8, min(math.ceil(size / REPLAY_BYTES), MOST_PARTITIONS))
     path = fresh_path(spark, f"replay-{source}")
     files = replay_files(df, path, order, slices, fmt)
     cores = spark.sparkContext.defaultParallelism

@@ -442,3 +442,17 @@ def test_a_date_outside_the_dimension_stays(spark, readings, devices, dates):
     kept = enrich(rows, devices, dates).collect()
     assert [(str(r.CalendarDate), r.CalendarDay) for r in kept] == [("2031-05-05", "Monday")]
     assert [r.device for r in unknown_devices(rows, devices).collect()] == [9]
+
+
+def test_replayed_files_stay_small_on_a_larger_table(spark, readings, tmp_path, monkeypatch):
+    """A task sorts one file's rows, so files grow in number with the table."""
+    from fleetgauge import storage
+    from fleetgauge.plans import bindings
+
+    df = readings(*[(i, f"00:{i // 60:02d}:{i % 60:02d}", float(i)) for i in range(600)])
+    df.repartition(1).write.parquet(str(tmp_path / "small.parquet"))
+    size = storage.total_bytes(spark, str(tmp_path / "small.parquet"))
+    monkeypatch.setattr(bindings, "REPLAY_BYTES", size / 24)
+    found = bindings.replayed(df, str(tmp_path), "small")
+    files = [spark.read.parquet(f"{found.path}/{n}").count() for n in storage.names(spark, found.path)]
+    assert len(files) > 16 and sum(files) == 600 and max(files) < 75
