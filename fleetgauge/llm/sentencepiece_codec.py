@@ -12,8 +12,9 @@ and once the states at all boundaries are known each chunk is traced back alone.
 
 No piece goes on past a blank mark that follows another character (checked when
 the model is loaded), so between such places pieces are words of their own and
-every word is solved once per task. Where a word is longer than a chunk, the
-matrices carry its states across.
+every word is solved once per task. The new words of a slice of texts are solved
+side by side: each round takes one step of every word's path as columns. Where a
+word is longer than a chunk, the matrices carry its states across.
 
 Defined results: a null text has null ids; an empty one none. Decoding gives
 the text back exactly, except that U+2581 becomes a blank. A character that the model
@@ -23,12 +24,14 @@ lacks becomes its bytes. Columns named like the result are replaced.
 from __future__ import annotations
 
 import math
+import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,10 +45,66 @@ GIANT = 1 << 20
 CHUNK = 1 << 16
 WORDS_KEPT = 150_000
 PAIRS_KEPT = 150_000
+ORDINARY = 64  # characters of a word that is solved beside others and kept
+TOGETHER = 1 << 14  # words solved side by side
+FEW = 32  # words left over that are solved one by one
+SLICE_BYTES = 1 << 20
+SLICE_IDS = 1 << 20
+PAIR_BITS = 20  # of the places for answers about pairs, as columns
+NO_CHARACTER = 0x1FFFFF
+WORD = re.compile(f"{BLANK}+[^{BLANK}]*")
 
 State = tuple[int, int]  # characters beyond the boundary, id of the last piece
 
 
+def slots(keys: np.ndarray, bits: int) -> np.ndarray:
+    """A place in a table of ``2 ** bits`` for each key."""
+    spread = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (spread >> np.uint64(64 - bits)).astype(np.int64)
+
+
+class Trie:
+    """All beginnings of pieces, followed from many places at once.
+
+    Nodes are numbered from 1, the root is 0 and -1 is none. An open table
+    holds the node after each node and character.
+    """
+
+    def __init__(self, begins: dict[str, int]):
+        node = {p: i for i, p in enumerate(begins, 1)}
+        keys = np.array([node.get(p[:-1], 0) << 21 | ord(p[-1]) for p in begins], np.int64)
+        # The id of the piece that a node is, else -1; the last stands for no node.
+        self.piece = np.array([-1, *begins.values(), -1], np.int64)
+        self.bits = (4 * len(keys) + 1).bit_length()
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.nodes = np.full(1 << self.bits, -1, np.int64)
+        at, left = slots(keys, self.bits), np.arange(len(keys))
+        while len(left):
+            free = left[self.keys[at[left]] == -1]
+            self.keys[at[free]] = keys[free]
+            placed = self.keys[at[left]] == keys[left]
+            self.nodes[at[left[placed]]] = left[placed] + 1
+            left = left[~placed]
+            at[left] = self.next(at[left])
+
+    def next(self, at: np.ndarray) -> np.ndarray:
+        return (at + 1) & ((1 << self.bits) - 1)
+
+    def after(self, nodes: np.ndarray, characters: np.ndarray) -> np.ndarray:
+        keys = nodes << 21 | characters
+        at = slots(keys, self.bits)
+        held = self.keys[at]
+        # An empty slot holds no node.
+        found = self.nodes[at]
+        left = np.flatnonzero((held != keys) & (held != -1))
+        while len(left):
+            at[left] = self.next(at[left])
+            held = self.keys[at[left]]
+            found[left] = self.nodes[at[left]]
+            left = left[(held != keys[left]) & (held != -1)]
+        return found
+
+
 class Lattice:
     """Pieces of a model with their weights in a path."""
 
@@ -65,13 +124,21 @@ class Lattice:
         # Two generations each: a full one replaces the older, so what is in use stays.
         self.apart: dict[int, bool] = {}
         self.older_apart: dict[int, bool] = {}
-        self.words: dict[str, array] = {}
-        self.older_words: dict[str, array] = {}
+        # The last pair asked for at each place, twice, and 1 if it stays apart.
+        self.pairs = np.full(1 << PAIR_BITS if merges else 0, -1, np.int64)
+        self.words: dict[str, bytes] = {}
+        self.older_words: dict[str, bytes] = {}
         self.histories: dict[str, tuple | None] = {}
         # Every beginning of a piece, and its id if it is one itself, else -1.
         self.begins = {p[:k]: -1 for p in pieces for k in range(1, len(p))}
         self.begins.update((p, i) for p, (i, _) in pieces.items())
         self.inner_blank = any(BLANK in p.lstrip(BLANK) for p in pieces)
+        self.trie = Trie(self.begins) if merges else None
+        # What an id adds to a text: a piece's characters, blanks for marks, or a lone byte.
+        spelled = [p.replace(BLANK, " ").encode() for p in self.name_of]
+        for b, i in enumerate(byte_ids):
+            spelled[i] = bytes([b])
+        self.spelled = pa.array(spelled, pa.large_binary())
 
     @classmethod
     def load(cls, path: str) -> Lattice:
@@ -237,29 +304,52 @@ class Lattice:
 
     def word(self, text: str) -> array:
         """Ids of a whole word; words seen before are looked up."""
+        return array("i", self.packed(text))
+
+    def packed(self, text: str) -> bytes:
+        """Ids of a whole word as 32-bit integers."""
         found = self.words.get(text)
         if found is None:
             found = self.older_words.get(text)
             if found is None:
-                found = array("i", self.solved(text))
-            if len(text) <= 64:
-                if len(self.words) >= WORDS_KEPT:
-                    self.older_words, self.words = self.words, {}
+                found = array("i", self.solved(text)).tobytes()
+            if len(text) <= ORDINARY:
+                self.make_room()
                 self.words[text] = found
         return found
 
+    def make_room(self) -> None:
+        if len(self.words) >= WORDS_KEPT:
+            self.older_words, self.words = self.words, {}
+
+    def packed_all(self, texts: set[str]) -> dict[str, bytes]:
+        """Ids of these words, and of others; new ones of ordinary length are solved side by side."""
+        self.make_room()
+        missing = texts.difference(self.words)
+        new = missing.difference(self.older_words)
+        self.words.update((w, self.older_words[w]) for w in missing.difference(new))
+        long = {w: self.packed(w) for w in new if len(w) > ORDINARY}
+        some = list(new.difference(long))
+        for start in range(0, len(some), TOGETHER):
+            part = some[start : start + TOGETHER]
+            self.words.update(zip(part, self.paths(part)))
+        return self.words | long if long else self.words
+
     def solved(self, text: str) -> list[int]:
         if len(text) > CHUNK:
             return self.long_word(text)
         if self.merges:
-            path = self.only_path(text)
-            if max(path) < self.most:
-                return path
-            return [i for c in path for i in ([c] if c < self.most else self.ids(chr(c - self.most)))]
+            return self.by_ids(self.only_path(text))
         table, ends = self.run(text, len(text), 0, "")
         _, last = max(ends, key=lambda s: (ends[s], s))
         return [i for p in self.trace(table, len(text), last, 0) for i in self.ids(p)]
 
+    def by_ids(self, codes: list[int]) -> list[int]:
+        """Ids for codes; a character that is no piece becomes its bytes."""
+        if max(codes) < self.most:
+            return codes
+        return [i for c in codes for i in ([c] if c < self.most else self.ids(chr(c - self.most)))]
+
     def only_path(self, text: str) -> list[int]:
         """Codes on the path of finite weight through a word of a merge model, longest pieces first.
 
@@ -299,6 +389,98 @@ class Lattice:
             at, before = to, code + 1
         return path
 
+    def options(self, characters: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Pieces that may begin at each place; a lone character always may.
+
+        Returns every option's code, its length and the next shorter option of
+        its place (-1 if none), and the longest option of each place.
+        """
+        nodes = self.trie.after(np.zeros(len(places), np.int64), characters[places])
+        pieces = self.trie.piece[nodes]
+        codes = [np.where(pieces >= 0, pieces, self.most + characters[places])]
+        lengths, shorter = [np.ones(len(places), np.int64)], [np.full(len(places), -1)]
+        longest, known = np.full(len(characters), -1), len(places)
+        longest[places] = np.arange(known)
+        for length in range(2, self.longest + 1):
+            places, nodes = places[nodes >= 0], nodes[nodes >= 0]
+            nodes = self.trie.after(nodes, characters[places + length - 1])
+            pieces = self.trie.piece[nodes]
+            found = places[pieces >= 0]
+            codes.append(pieces[pieces >= 0])
+            lengths.append(np.full(len(found), length))
+            shorter.append(longest[found])
+            longest[found] = np.arange(known, known + len(found))
+            known += len(found)
+        return np.concatenate(codes), np.concatenate(lengths), np.concatenate(shorter), longest
+
+    def fit_all(self, before: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """``fits`` for columns."""
+        pairs = before * self.base + codes
+        at = slots(pairs, PAIR_BITS)
+        held = self.pairs[at]
+        if len(new := np.flatnonzero(held >> 1 != pairs)):
+            found = map(self.fits, before[new].tolist(), codes[new].tolist())
+            held[new] = pairs[new] << 1 | np.fromiter(found, bool, len(new))
+            self.pairs[at[new]] = held[new]
+        return (held & 1).astype(bool)
+
+    def paths(self, words: list[str]) -> list[bytes]:
+        """Packed ids of many short words, for a merge model by ``only_path`` for all side by side.
+
+        The words lie in one row of places, each with an end of its own. Each
+        round tries the next option of every word that is not at its end.
+        """
+        if not self.merges:
+            return [array("i", self.solved(w)).tobytes() for w in words]
+        ends = np.cumsum([len(w) + 1 for w in words]) - 1
+        starts = np.r_[0, ends[:-1] + 1]
+        characters = np.full(ends[-1] + 1, NO_CHARACTER)
+        inside = np.ones(len(characters), bool)
+        inside[ends] = False
+        characters[inside] = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        codes, lengths, shorter, longest = self.options(characters, np.flatnonzero(inside))
+
+        # For each place: the code before it and 1, where that piece begins, the option taken.
+        before, came, taken = (np.zeros(len(characters), np.int64) for _ in range(3))
+        dead = np.zeros(len(characters), bool)
+        came[starts] = -1
+        number, at, option = np.arange(len(words)), starts, longest[starts]
+        while len(at) > FEW:
+            while len(stuck := np.flatnonzero(option < 0)):
+                dead[at[stuck]] = True
+                at[stuck] = came[at[stuck]]
+                if at.min() < 0:
+                    raise ValueError("a word has no path through the model's pieces")
+                option[stuck] = shorter[taken[at[stuck]]]
+            to = at + lengths[option]
+            goes = ~dead[to]
+            goes[goes] = self.fit_all(before[at[goes]], codes[option[goes]])
+            taken[at[goes]] = option[goes]
+            came[to[goes]] = at[goes]
+            before[to[goes]] = codes[option[goes]] + 1
+            option = np.where(goes, longest[to], shorter[option])
+            at = np.where(goes, to, at)
+            left = at < ends[number]
+            number, at, option = number[left], at[left], option[left]
+
+        done = np.ones(len(words), bool)
+        done[number] = False
+        passed = np.zeros(len(characters), bool)
+        at, stops = starts[done], ends[done]
+        while len(at):
+            passed[at] = True
+            at = at + lengths[taken[at]]
+            at, stops = at[at < stops], stops[at < stops]
+        path = codes[taken[passed]].astype(np.int32)
+        cuts = np.r_[0, np.cumsum(passed)[ends]]
+        packed, bounds = path.tobytes(), (4 * cuts).tolist()
+        out = [packed[a:b] for a, b in zip(bounds, bounds[1:])]
+        for i in np.unique(np.searchsorted(cuts, np.flatnonzero(path >= self.most), side="right") - 1).tolist():
+            out[i] = array("i", self.by_ids(path[cuts[i] : cuts[i + 1]].tolist())).tobytes()
+        for i in number.tolist():
+            out[i] = array("i", self.solved(words[i])).tobytes()
+        return out
+
     def transfer(self, text: str, end: int, states) -> dict:
         """Matrix of a chunk: for each state at its left the states at its right.
 
@@ -375,16 +557,7 @@ def words_of(text: str) -> list[str]:
 
     A run of blanks stays with the word after it.
     """
-    parts = text.split(BLANK)
-    out, marks = [], 0
-    for part in parts[1:]:
-        marks += 1
-        if part:
-            out.append(BLANK * marks + part)
-            marks = 0
-    if marks:
-        out.append(BLANK * marks)
-    return out
+    return WORD.findall(text)
 
 
 _loaded: dict[str, Lattice] = {}
@@ -396,23 +569,25 @@ def lattice(path: str) -> Lattice:
     return _loaded[path]
 
 
-def encode_text(model: Lattice, text: str) -> array:
-    if model.inner_blank:
-        return model.word(prepared(text)) if text else array("i")
-    out = array("i")
-    word, words = model.word, model.words
-    for w in words_of(prepared(text)):
-        found = words.get(w)
-        out += word(w) if found is None else found
-    return out
+def encode_words(model: Lattice, texts: Iterable[list[str] | None]) -> list[bytes | None]:
+    """Packed ids of texts that are given as words; None stays None."""
+    texts = list(texts)
+    known = model.packed_all(set().union(*filter(None, texts)))
+    return [None if t is None else b"".join(map(known.__getitem__, t)) for t in texts]
+
+
+def words_within(model: Lattice, text: str | None) -> list[str] | None:
+    if text is None or not model.inner_blank:
+        return None if text is None else words_of(prepared(text))
+    return [prepared(text)] if text else []
 
 
 ENCODED = T.StructField("ids", T.ArrayType(T.IntegerType()))
 
 
-def _ids_array(rows: list[array | None]) -> pa.Array:
-    sizes = np.array([len(r) if r is not None else 0 for r in rows], np.int64)
-    flat = np.concatenate([np.zeros(0, np.int32), *[np.frombuffer(r, np.int32) for r in rows if r]])
+def _ids_array(rows: list[bytes | None]) -> pa.Array:
+    sizes = np.array([len(r) // 4 if r is not None else 0 for r in rows], np.int64)
+    flat = np.frombuffer(b"".join(filter(None, rows)), np.int32)
     offsets = np.r_[0, np.cumsum(sizes)].astype(np.int32)
     mask = pa.array([r is None for r in rows]) if any(r is None for r in rows) else None
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), mask=mask)
@@ -423,21 +598,19 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
     for batch in batches:
         row = batch.column("row")
         texts = pa.RecordBatch.from_arrays([row, row.field("text")], names=["row", "text"])
-        for part in slices(texts, "text"):
-            ids = [None if t is None else encode_text(model, t) for t in part.column("text").to_pylist()]
+        for part in slices(texts, "text", SLICE_BYTES):
+            ids = encode_words(model, (words_within(model, t) for t in part.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays([part.column("row"), _ids_array(ids)], names=["row", "ids"])
 
 
 def _encode_parts(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     model = lattice(path)
     for batch in batches:
-        ids = [
-            array("i", [i for w in words_of(t) for i in model.word(w)])
-            for t in batch.column("part").to_pylist()
-        ]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("uid"), batch.column("at"), _ids_array(ids)], names=["uid", "at", "ids"]
-        )
+        for part in slices(batch, "part", SLICE_BYTES):
+            ids = encode_words(model, map(words_of, part.column("part").to_pylist()))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("uid"), part.column("at"), _ids_array(ids)], names=["uid", "at", "ids"]
+            )
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -501,12 +674,42 @@ def decode_ids(model: Lattice, ids: list[int]) -> str:
     return "".join(out).replace(BLANK, " ")[1:] if ids else ""
 
 
+def decode_lists(model: Lattice, lists: pa.ListArray) -> pa.Array:
+    """``decode_ids`` for a column: what the ids add, one after the other, is cut where rows end.
+
+    Rows go one by one if a byte may belong to no character.
+    """
+    ids = lists.flatten()
+    if not len(ids):
+        return pc.if_else(lists.is_valid(), pa.scalar("", pa.string()), pa.scalar(None, pa.string()))
+    taken = model.spelled.take(ids)
+    where = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset : taken.offset + len(ids) + 1]
+    rows = np.r_[0, np.cumsum(pc.list_value_length(lists).fill_null(0).to_numpy())]
+    ends = pa.py_buffer(np.ascontiguousarray(where[rows]))
+    whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), [None, ends, taken.buffers()[2]])
+    try:
+        if model.byte_ids and (np.diff(where) == 0).any():
+            raise pa.ArrowInvalid("an id without text parts the bytes beside it")
+        texts = whole.cast(pa.large_string())
+        if model.is_byte[ids.to_numpy()].any():  # bytes may spell a blank mark
+            texts = pc.replace_substring(texts, BLANK, " ")
+        texts = pc.utf8_slice_codeunits(texts, 1).cast(pa.string())
+    except pa.ArrowInvalid:
+        texts = pa.array([decode_ids(model, x or []) for x in lists.to_pylist()], pa.string())
+    return pc.if_else(lists.is_valid(), texts, pa.scalar(None, pa.string()))
+
+
 def _decode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     model = lattice(path)
     for batch in batches:
         row = batch.column("row")
-        texts = [None if not x.is_valid else decode_ids(model, x.values.to_numpy().tolist()) for x in row.field("ids")]
-        yield pa.RecordBatch.from_arrays([row, pa.array(texts, pa.string())], names=["row", "decoded"])
+        counts = np.r_[0, np.cumsum(pc.list_value_length(row.field("ids")).fill_null(0).to_numpy())]
+        start = 0
+        while start < len(row):
+            stop = int(np.searchsorted(counts, counts[start] + SLICE_IDS, side="right")) - 1
+            part = row.slice(start, max(stop, start + 1) - start)
+            yield pa.RecordBatch.from_arrays([part, decode_lists(model, part.field("ids"))], names=["row", "decoded"])
+            start += len(part)
 
 
 def decode(coded: DataFrame, model_path: str) -> DataFrame:

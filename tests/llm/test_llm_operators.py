@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -222,6 +223,36 @@ def test_encoding_equals_the_library_and_comes_back(spark, docs):
     assert model.long_word(word, 13) == library.encode(word[1:])
 
 
+def test_new_words_are_solved_side_by_side(monkeypatch):
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    model = sentencepiece_codec.Lattice.load(PIECES)
+    letters = [*"aehinrstaehinrst ", "  ", "é", "ß", "漢", "🙂", "\0", "\n", "▁", "\U0010fffd"]
+    rng = np.random.default_rng(5)
+    texts = ["".join(rng.choice(letters, n)) for n in rng.integers(0, 300, 500)] + [None, "", " ", "x" * 100, "\0"]
+    alone, only_path = [], model.only_path
+    monkeypatch.setattr(model, "only_path", lambda w: alone.append(w) or only_path(w))
+    packed = sentencepiece_codec.encode_words(model, [sentencepiece_codec.words_within(model, t) for t in texts])
+    assert [None if x is None else np.frombuffer(x, np.int32).tolist() for x in packed] == [
+        None if t is None else library.encode(t) for t in texts
+    ]
+    assert len([w for w in alone if len(w) <= sentencepiece_codec.ORDINARY]) <= sentencepiece_codec.FEW < len(model.words) / 20
+
+
+def test_columns_of_ids_decode_as_rows_do(monkeypatch):
+    model = sentencepiece_codec.lattice(PIECES)
+    rng = np.random.default_rng(6)
+    sound = [model.word(sentencepiece_codec.prepared(t)).tolist() for t in ["a b", "é漢🙂 \U0010fffd", " "]]
+    mark = [model.byte_ids[b] for b in "▁".encode()]
+    broken = [rng.integers(0, top, n).tolist() for top in (300, len(model.name_of)) for n in rng.integers(0, 30, 50)]
+    parted = [model.byte_ids[0xC3], model.unknown, model.byte_ids[0xA9]]
+    for rows in ([*sound, None, [], sound[0] + mark + mark], [*broken, None], [parted], [None], []):
+        lists = pa.array([[7], *rows], pa.list_(pa.int32())).slice(1)
+        wanted = [None if r is None else sentencepiece_codec.decode_ids(model, r) for r in rows]
+        assert sentencepiece_codec.decode_lists(model, lists).to_pylist() == wanted
+    monkeypatch.setattr(sentencepiece_codec, "decode_ids", None)  # sound rows need no turn of their own
+    assert sentencepiece_codec.decode_lists(model, pa.array(sound, pa.list_(pa.int32()))).to_pylist()[0] == "a b"
+
+
 def test_unigram_matrices_match_one_path():
     pieces = {"▁": -3.0, "▁a": -2.5, "a": -2.0, "b": -2.2, "ab": -3.0, "ba": -3.3, "aba": -5.5, "bb": -3.1}
     model = sentencepiece_codec.Lattice({p: (i, s) for i, (p, s) in enumerate(pieces.items())}, [], merges=False)
