@@ -27,7 +27,7 @@ import math
 import re
 from array import array
 from collections.abc import Iterable, Iterator
-from functools import partial
+from functools import cached_property, partial
 
 import numpy as np
 import pyarrow as pa
@@ -43,12 +43,12 @@ from fleetgauge.session import stored
 BLANK = "▁"
 GIANT = 1 << 20
 CHUNK = 1 << 16
-WORDS_KEPT = 150_000
-PAIRS_KEPT = 150_000
+WORDS_KEPT = 30_000
+PAIRS_KEPT = 30_000
 ORDINARY = 64  # characters of a word that is solved beside others and kept
-TOGETHER = 1 << 14  # words solved side by side
+TOGETHER = 1 << 12  # words solved side by side
 FEW = 32  # words left over that are solved one by one
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 SLICE_IDS = 1 << 20
 PAIR_BITS = 20  # of the places for answers about pairs, as columns
 NO_CHARACTER = 0x1FFFFF
@@ -124,8 +124,6 @@ class Lattice:
         # Two generations each: a full one replaces the older, so what is in use stays.
         self.apart: dict[int, bool] = {}
         self.older_apart: dict[int, bool] = {}
-        # The last pair asked for at each place, twice, and 1 if it stays apart.
-        self.pairs = np.full(1 << PAIR_BITS if merges else 0, -1, np.int64)
         self.words: dict[str, bytes] = {}
         self.older_words: dict[str, bytes] = {}
         self.histories: dict[str, tuple | None] = {}
@@ -133,12 +131,25 @@ class Lattice:
         self.begins = {p[:k]: -1 for p in pieces for k in range(1, len(p))}
         self.begins.update((p, i) for p, (i, _) in pieces.items())
         self.inner_blank = any(BLANK in p.lstrip(BLANK) for p in pieces)
-        self.trie = Trie(self.begins) if merges else None
-        # What an id adds to a text: a piece's characters, blanks for marks, or a lone byte.
+
+    # Each is made when first asked for: encoding needs two of them, decoding one.
+
+    @cached_property
+    def trie(self) -> Trie:
+        return Trie(self.begins)
+
+    @cached_property
+    def pairs(self) -> np.ndarray:
+        """The last pair asked for at each place, twice, and 1 more if it stays apart."""
+        return np.full(1 << PAIR_BITS, -1, np.int64)
+
+    @cached_property
+    def spelled(self) -> pa.Array:
+        """What an id adds to a text: a piece's characters, blanks for marks, or a lone byte."""
         spelled = [p.replace(BLANK, " ").encode() for p in self.name_of]
-        for b, i in enumerate(byte_ids):
+        for b, i in enumerate(self.byte_ids):
             spelled[i] = bytes([b])
-        self.spelled = pa.array(spelled, pa.large_binary())
+        return pa.array(spelled, pa.large_binary())
 
     @classmethod
     def load(cls, path: str) -> Lattice:
